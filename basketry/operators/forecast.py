@@ -17,7 +17,7 @@ from basketry.operators.series import (
     zero_fill,
 )
 from basketry.schemas import GBT_DEFAULTS
-from basketry.session import reliable_checkpoint
+from basketry.session import materialize
 
 HORIZON_DAYS = 28
 _CALENDAR = ("day_of_week", "day_of_month", "month_of_year")
@@ -76,7 +76,7 @@ def future_frame(
 def fit_forecaster(train: DataFrame, value: str = "sales", **params) -> PipelineModel:
     """Gradient-boosted trees; ``params`` override the defaults.
 
-    The training rows are checkpointed first: boosting reads them once per
+    The training rows are written out first: boosting reads them once per
     tree, and their long lineage should not be replayed when executors go.
     """
     settings = {**GBT_DEFAULTS, **params}
@@ -87,7 +87,7 @@ def fit_forecaster(train: DataFrame, value: str = "sales", **params) -> Pipeline
         labelCol=value, featuresCol="features", predictionCol="forecast", **settings
     )
     columns = [*feature_names(), *_CALENDAR, F.col(value).cast("double").alias(value)]
-    fixed = reliable_checkpoint(train.select(*columns))
+    fixed = materialize(train.select(*columns))
     return Pipeline(stages=[assembler, trees]).fit(fixed)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from basketry.session import reliable_checkpoint
+from basketry.session import materialize
 
 _POSITION = "_position"
 _PART = "_part"
@@ -15,12 +15,12 @@ _PART = "_part"
 def _frozen_order(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     """``df`` sorted over all partitions, with partition and position columns.
 
-    Runs a job: the sorted rows are checkpointed, because a position is only
+    Runs a job: the sorted rows are written out, because a position is only
     meaningful while the partitioning it came from stays the same.
     """
     ordered = df.orderBy(*order).withColumn(_POSITION, F.monotonically_increasing_id())
     # monotonically_increasing_id is (partition << 33) + position in partition
-    return reliable_checkpoint(ordered).withColumns(
+    return materialize(ordered).withColumns(
         {
             _PART: F.shiftright(_POSITION, 33),
             _POSITION: F.col(_POSITION).bitwiseAND(F.lit((1 << 33) - 1)),

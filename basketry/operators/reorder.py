@@ -11,7 +11,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from basketry.session import reliable_checkpoint
+from basketry.session import materialize
 
 FEATURES = ("times_bought", "order_share", "orders_since", "n_orders")
 
@@ -72,9 +72,9 @@ def fit_reorder_model(
 ) -> PipelineModel:
     """Class-weighted logistic regression on the reorder features.
 
-    The features are checkpointed first, as every iteration reads them.
+    The features are written out first, as every iteration reads them.
     """
-    fixed = reliable_checkpoint(table.select(*features, "label"))
+    fixed = materialize(table.select(*features, "label"))
     stages = [
         VectorAssembler(inputCols=list(features), outputCol="_raw"),
         StandardScaler(inputCol="_raw", outputCol="features"),

@@ -67,13 +67,14 @@ def zero_fill(
     following = F.lead(date).over(Window.partitionBy(*keys).orderBy(date))
     last = F.greatest(F.col(date), until) if until is not None else F.col(date)
     stop = F.coalesce(F.date_sub(following, 1), last)
-    days = F.sequence(F.col(date), stop, F.expr("interval 1 day"))
+    # never empty, so the outer form saves the check for emptiness
+    gaps = F.explode_outer(F.sequence(F.lit(0), F.datediff("_stop", date)))
     return (
-        sales.withColumn("_days", days)
-        .select(*keys, value, F.posexplode("_days").alias("_gap", "_day"))
+        sales.withColumn("_stop", stop)
+        .select(*keys, date, value, gaps.alias("_gap"))
         .select(
             *keys,
-            F.col("_day").alias(date),
+            F.date_add(date, F.col("_gap")).alias(date),
             F.when(F.col("_gap") == 0, F.col(value)).otherwise(F.lit(0)).alias(value),
         )
     )
@@ -166,12 +167,14 @@ def lag_features(
     that reaches before the first day of the series is NULL; ``start`` names a
     column with that day if the rows at hand begin later.
     """
-    series = Window.partitionBy(*keys)
+    # one ordering for all frames, so one sort serves them all
+    series = Window.partitionBy(*keys).orderBy("_day")
+    so_far = series.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     day = F.unix_date(F.col(date))
-    age = day - F.unix_date(F.min(start or date).over(series))
+    age = day - F.unix_date(F.min(start or date).over(so_far))
 
     def total(back: int, to: int) -> Column:
-        frame = series.orderBy("_day").rangeBetween(-back, -to)
+        frame = series.rangeBetween(-back, -to)
         return F.coalesce(F.sum(value).over(frame), F.lit(0)).cast("double")
 
     features = {f"lag_{n}": F.when(age >= n, total(n, n)) for n in LAGS}

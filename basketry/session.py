@@ -1,8 +1,9 @@
-"""Session settings and the reliable-checkpoint location."""
+"""Session settings and the shared folder for intermediate tables."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,18 +57,20 @@ def shared_dir(spark: SparkSession) -> str:
         raise RuntimeError(
             "set spark.checkpoint.dir to a folder every executor can reach"
         )
-    folder = tempfile.mkdtemp(prefix="basketry-checkpoints-")
+    folder = tempfile.mkdtemp(prefix="basketry-shared-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it from there.
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder as Parquet and read it from there.
 
-    Used where a plan must see one fixed outcome of a non-deterministic column
-    (row positions) even if executors are lost and tasks run again.
+    For rows that must be fixed once: positions that depend on how a sort was
+    partitioned, or training rows that an iterative model reads many times.
+    What is read back has no lineage to replay when executors are lost, and
+    unlike an RDD checkpoint it is compressed and keeps column pruning. Runs a
+    job. The folder is the cluster's to expire.
     """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    path = f"{shared_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

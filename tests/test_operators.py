@@ -21,7 +21,7 @@ from basketry.operators import (
     series,
     similar,
 )
-from basketry.session import reliable_checkpoint, shared_dir
+from basketry.session import materialize, shared_dir
 
 
 def _frame(spark, rows, schema):
@@ -246,12 +246,13 @@ def test_ntile(spark, n):
     assert {r.id: r.t for r in got} == {r.id: r.t for r in want}
 
 
-def test_checkpoint_folder_comes_from_the_session(spark):
+def test_intermediate_tables_go_to_the_folder_the_session_names(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     folder = shared_dir(spark)
     assert folder == named.rstrip("/") if named else folder
-    reliable_checkpoint(spark.range(3))
-    assert folder in spark.sparkContext.getCheckpointDir()
+    fixed = materialize(spark.range(3).withColumn("`odd name`", F.lit("x")))
+    assert fixed.count() == 3
+    assert all(f"{folder}/stage-" in path for path in fixed.inputFiles())
 
 
 # --- reshape and series -----------------------------------------------------------
