@@ -7,9 +7,9 @@ from basketry.functions.text import (
     present,
     strip_prefix,
 )
-from basketry.functions.vectors import cosine, dot, norm
+from basketry.functions.vectors import cosine, dot, norm, unit
 
 __all__ = [
     "cosine", "dot", "long_enough", "mentions_or_missing", "month_label",
-    "norm", "present", "strip_prefix", "weekday_label", "weekday_number",
+    "norm", "present", "strip_prefix", "unit", "weekday_label", "weekday_number",
 ]

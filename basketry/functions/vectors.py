@@ -21,3 +21,9 @@ def norm(a: Column) -> Column:
 def cosine(a: Column, b: Column) -> Column:
     """Cosine similarity; NULL when either vector has no length."""
     return F.try_divide(dot(a, b), norm(a) * norm(b))
+
+
+def unit(a: Column) -> Column:
+    """The vector scaled to length one; all NULLs when it has no length."""
+    length = norm(a)
+    return F.transform(a, lambda x: F.try_divide(x.cast("double"), length))

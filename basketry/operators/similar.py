@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from basketry.functions.vectors import cosine
+from basketry.functions.vectors import dot, norm, unit
 
 
 def similar_to_vector(
     vectors: DataFrame,
-    target: Sequence[float] | Column,
+    target: Sequence[float],
     k: int = 10,
     key: str = "product_id",
     vector: str = "embedding",
@@ -20,18 +21,18 @@ def similar_to_vector(
     """The ``k`` rows closest to a vector, best first; the key breaks ties.
 
     ``where`` limits the candidates by other columns (category, brand) before
-    any arithmetic. Each task keeps its own best ``k``.
+    any arithmetic. Each task keeps its own best ``k``. Rows whose vector has
+    no length have no similarity and are left out.
     """
-    if not isinstance(target, Column):
-        target = F.lit([float(x) for x in target])
-    candidates = vectors if where is None else vectors.where(where)
-    return (
-        candidates.withColumn("_target", target)
-        .withColumn("similarity", cosine(F.col(vector), F.col("_target")))
-        .where(F.col("similarity").isNotNull())
-        .drop(vector, "_target")
-        .orderBy(F.desc("similarity"), key)
-        .limit(k)
+    length = math.hypot(*target)
+    if length == 0:
+        raise ValueError("the vector has no length")
+    return _closest(
+        vectors if where is None else vectors.where(where),
+        F.lit([float(x) / length for x in target]),
+        k,
+        key,
+        vector,
     )
 
 
@@ -44,10 +45,31 @@ def similar_to(
     where: Column | None = None,
 ) -> DataFrame:
     """The ``k`` products closest to a given one, itself left out."""
-    target = vectors.where(F.col(key) == F.lit(product)).select(vector).scalar()
-    others = F.col(key) != F.lit(product)
-    return similar_to_vector(
-        vectors, target, k, key, vector, others if where is None else others & where
+    chosen = vectors.where(F.col(key) == F.lit(product))
+    others = vectors.where(F.col(key) != F.lit(product))
+    return _closest(
+        others if where is None else others.where(where),
+        chosen.select(unit(F.col(vector))).scalar(),
+        k,
+        key,
+        vector,
+    )
+
+
+def _closest(
+    candidates: DataFrame, target: Column, k: int, key: str, vector: str
+) -> DataFrame:
+    """``target`` has length one, so each row costs one product and one norm."""
+    length = norm(F.col(vector))
+    return (
+        candidates.withColumn("_target", target)
+        .withColumn(
+            "similarity", F.try_divide(dot(F.col(vector), F.col("_target")), length)
+        )
+        .where(F.col("similarity").isNotNull())
+        .drop(vector, "_target")
+        .orderBy(F.desc("similarity"), key)
+        .limit(k)
     )
 
 
