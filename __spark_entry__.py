@@ -34,9 +34,11 @@ from basketry.operators import (
     series,
     similar,
 )
+from basketry import schemas as S
 from basketry.plans import ingest
 from basketry.session import shared_dir
 from basketry.sources.catalog import Catalog
+from basketry.sources.sink import write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -389,6 +391,15 @@ def table_shape(spark, sf_dir):
     return profile.shape(_table(spark, sf_dir, "lineitem"))
 
 
+@_register("""
+    SELECT o_orderkey AS order_id, o_custkey AS user_id, o_orderdate::DATE AS order_date,
+           o_totalprice AS amount
+    FROM orders ORDER BY o_orderkey LIMIT 5
+""")
+def first_rows(spark, sf_dir):
+    return _orders(spark, sf_dir).orderBy("order_id").limit(5)
+
+
 @_register("""
     SELECT doc_id, source, lang, quality FROM (
         SELECT d.doc_id, source, lang, quality
@@ -995,7 +1006,7 @@ def ingest_catalogue(spark, sf_dir):
         F.lit("not wanted").alias("creator"),
         *[
             known.get(n, F.lit(None)).cast("string").alias(n)
-            for n in ingest.S.CATALOGUE_SCHEMA.names
+            for n in S.CATALOGUE_SCHEMA.names
         ],
     )
     path = f"{_raw_folder(spark)}/catalogue.csv"
@@ -1012,6 +1023,53 @@ def ingest_catalogue(spark, sf_dir):
     )
 
 
+# --- stored tables: written from the given ones, then loaded with filters --------------
+@_register("""
+    SELECT l_partkey::VARCHAR AS item_id, p_type AS cat_id, l_linestatus AS store_id,
+           l_shipdate::DATE AS date, sum(l_quantity)::INT AS sales
+    FROM lineitem JOIN part ON l_partkey = p_partkey
+    WHERE p_type = 'PROMO' AND l_linestatus = 'O' GROUP BY 1, 2, 3, 4
+""")
+def load_sales(spark, sf_dir):
+    """Partitioned write, then the loader with both of its filters."""
+    sold = (
+        _table(spark, sf_dir, "lineitem")
+        .groupBy(
+            F.col("l_partkey").alias("product_id"),
+            F.col("l_linestatus").alias("store_id"),
+            F.to_date("l_shipdate").alias("date"),
+        )
+        .agg(F.sum("l_quantity").cast("int").alias("sales"))
+        .join(_products(spark, sf_dir), "product_id")
+        .select(
+            F.col("product_id").cast("string").alias("item_id"),
+            F.col("department").alias("cat_id"),
+            "store_id",
+            "date",
+            "sales",
+        )
+    )
+    root = _raw_folder(spark)
+    stored = Catalog(spark, root)
+    write_table(sold, stored.path(S.DAILY_SALES), S.DAILY_SALES_PARTITIONS)
+    return stored.load_m5_sales(category="PROMO", store_id="O")
+
+
+@_register("""
+    SELECT doc_id::VARCHAR AS code, length(text)::INT AS name_length FROM documents
+    WHERE length(text) >= 3
+""")
+def load_catalogue(spark, sf_dir):
+    """The catalogue loader with its default length filter."""
+    named = _table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("code"), F.col("text").alias("product_name")
+    )
+    stored = Catalog(spark, _raw_folder(spark))
+    write_table(named, stored.path(S.CATALOGUE))
+    products = stored.load_off_products()
+    return products.select("code", F.length("product_name").alias("name_length"))
+
+
 # --- driver entry points ----------------------------------------------------------------
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: the most ordered products and their reorder rate."""

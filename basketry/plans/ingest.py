@@ -1,7 +1,6 @@
 """Raw files to stored tables.
 
-Each ``build_*`` returns one lazy plan; ``run`` writes them. A written table is
-the only action, and its row count is observed during the write.
+Each ``build_*`` returns one lazy plan; ``run`` writes them and logs row counts.
 """
 
 from __future__ import annotations
