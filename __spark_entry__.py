@@ -36,7 +36,7 @@ from basketry.operators import (
 )
 from basketry import schemas as S
 from basketry.plans import ingest
-from basketry.session import shared_dir
+from basketry.session import materialize, shared_dir
 from basketry.sources.catalog import Catalog
 from basketry.sources.sink import write_table
 
@@ -618,7 +618,7 @@ def order_gap(spark, sf_dir):
 
 @_register()
 def segments_kmeans(spark, sf_dir):
-    table = _rfm(spark, sf_dir)
+    table = materialize(_rfm(spark, sf_dir))
     model = segments.fit_segments(table, k=4)
     return segments.assign_segments(model, table).drop("features")
 
@@ -668,8 +668,10 @@ def reorder_features(spark, sf_dir):
 
 @_register()
 def reorder_model(spark, sf_dir):
-    features = reorder.reorder_features(
-        _numbered_orders(spark, sf_dir), _brand_items(spark, sf_dir)
+    features = materialize(
+        reorder.reorder_features(
+            _numbered_orders(spark, sf_dir), _brand_items(spark, sf_dir)
+        )
     )
     model = reorder.fit_reorder_model(features)
     return reorder.score_reorders(model, features)
@@ -717,7 +719,10 @@ def cross_elasticity(spark, sf_dir):
     points = elasticity.price_points(
         _monthly(spark, sf_dir), ["department", "date"], "sales"
     )
-    fitted = elasticity.cross_elasticity(points, "department", "date")
+    # the product table knows the departments; no need to look through the sales
+    departments = _products(spark, sf_dir).select("department").distinct()
+    drivers = sorted(r.department for r in departments.toLocalIterator())
+    fitted = elasticity.cross_elasticity(points, "department", "date", drivers)
     return _rounded(fitted, elasticity=5)
 
 
@@ -791,7 +796,8 @@ def demand_forecast(spark, sf_dir):
     keys = ["department"]
     last = series.last_day(_sales(spark, sf_dir))
     daily = series.daily_totals(_by_product(spark, sf_dir), keys)
-    train, _ = series.time_split(forecast.training_frame(daily, keys), last)
+    frame = materialize(forecast.training_frame(daily, keys))
+    train, _ = series.time_split(frame, last)
     model = forecast.fit_forecaster(train, maxIter=10, maxDepth=4)
     future = forecast.future_frame(daily, keys, last)
     return _rounded(forecast.forecast(model, future, keys), forecast=4)

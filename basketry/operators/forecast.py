@@ -17,7 +17,6 @@ from basketry.operators.series import (
     zero_fill,
 )
 from basketry.schemas import GBT_DEFAULTS
-from basketry.session import materialize
 
 HORIZON_DAYS = 28
 _CALENDAR = ("day_of_week", "day_of_month", "month_of_year")
@@ -76,8 +75,8 @@ def future_frame(
 def fit_forecaster(train: DataFrame, value: str = "sales", **params) -> PipelineModel:
     """Gradient-boosted trees; ``params`` override the defaults.
 
-    The training rows are written out first: boosting reads them once per
-    tree, and their long lineage should not be replayed when executors go.
+    Every tree reads ``train``, so pass a stored or materialised one: then lost
+    executors do not make Spark fill and window the series again.
     """
     settings = {**GBT_DEFAULTS, **params}
     assembler = VectorAssembler(
@@ -86,9 +85,8 @@ def fit_forecaster(train: DataFrame, value: str = "sales", **params) -> Pipeline
     trees = GBTRegressor(
         labelCol=value, featuresCol="features", predictionCol="forecast", **settings
     )
-    columns = [*feature_names(), *_CALENDAR, F.col(value).cast("double").alias(value)]
-    fixed = materialize(train.select(*columns))
-    return Pipeline(stages=[assembler, trees]).fit(fixed)
+    rows = train.withColumn(value, F.col(value).cast("double"))
+    return Pipeline(stages=[assembler, trees]).fit(rows)
 
 
 def forecast(

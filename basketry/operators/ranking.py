@@ -38,9 +38,8 @@ def _before_part(frozen: DataFrame, amount: Column) -> DataFrame:
     return (
         frozen.groupBy(_PART)
         .agg(amount.alias("_in_part"))
-        .select(
-            _PART,
-            F.coalesce(F.sum("_in_part").over(earlier), F.lit(0)).alias("_before"),
+        .withColumn(
+            "_before", F.coalesce(F.sum("_in_part").over(earlier), F.lit(0))
         )
     )
 
@@ -58,7 +57,7 @@ def with_row_number(
     return (
         frozen.join(F.broadcast(before), _PART)
         .withColumn(name, F.col("_before") + F.col(_POSITION) + 1)
-        .drop(_PART, _POSITION, "_before")
+        .drop(_PART, _POSITION, "_before", "_in_part")
     )
 
 
@@ -79,9 +78,9 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles of one column, as one row ``q_<p>``.
 
-    For columns with any number of distinct values: values are counted first,
-    sorted by range, and each wanted rank is located from running totals, so
-    no task holds all values. Runs a job.
+    For columns with any number of distinct values: values are counted first
+    and sorted by range. Totals per range tell which few ranges hold a wanted
+    rank, and only these are searched. No task holds all values. Runs a job.
     """
     counts = (
         df.where(F.col(column).isNotNull())
@@ -90,26 +89,32 @@ def exact_quantiles(
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     frozen = _frozen_order(counts, ["_value"])
-    before = _before_part(frozen, F.sum("_n"))
-    running = (
+    ranges = _before_part(frozen, F.sum("_n")).withColumn(
+        "_total", frozen.agg(F.sum("_n")).scalar()
+    )
+    spots = [(F.col("_total") - 1) * F.lit(float(p)) for p in probabilities]
+
+    def within(rank: Column, start: str, size: str) -> Column:
+        return (F.col(start) <= rank) & (rank < F.col(start) + F.col(size))
+
+    wanted = F.lit(False)
+    for spot in spots:
+        for rank in (F.floor(spot), F.ceil(spot)):
+            wanted = wanted | within(rank, "_before", "_in_part")
+    earlier = (
         Window.partitionBy(_PART)
         .orderBy(_POSITION)
-        .rowsBetween(Window.unboundedPreceding, 0)
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    located = (
-        frozen.withColumn("_upto", F.sum("_n").over(running))
-        .join(F.broadcast(before), _PART)
-        .withColumn("_upto", F.col("_before") + F.col("_upto"))
-        .withColumn("_total", frozen.agg(F.sum("_n")).scalar())
+    located = frozen.join(F.broadcast(ranges.where(wanted)), _PART).withColumn(
+        "_start", F.col("_before") + F.coalesce(F.sum("_n").over(earlier), F.lit(0))
     )
 
     def at(rank: Column) -> Column:
-        holds = (F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto"))
-        return F.max(F.when(holds, F.col("_value")))
+        return F.max(F.when(within(rank, "_start", "_n"), F.col("_value")))
 
     results = []
-    for p in probabilities:
-        spot = (F.col("_total") - 1) * F.lit(float(p))
+    for p, spot in zip(probabilities, spots):
         low, high = at(F.floor(spot)), at(F.ceil(spot))
         part = F.max(spot - F.floor(spot))
         results.append((low + (high - low) * part).alias(f"q_{p:g}"))

@@ -11,8 +11,6 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from basketry.session import materialize
-
 FEATURES = ("times_bought", "order_share", "orders_since", "n_orders")
 
 
@@ -72,15 +70,14 @@ def fit_reorder_model(
 ) -> PipelineModel:
     """Class-weighted logistic regression on the reorder features.
 
-    The features are written out first, as every iteration reads them.
+    Every iteration reads ``table``, so pass a stored or materialised one.
     """
-    fixed = materialize(table.select(*features, "label"))
     stages = [
         VectorAssembler(inputCols=list(features), outputCol="_raw"),
         StandardScaler(inputCol="_raw", outputCol="features"),
         LogisticRegression(weightCol="weight", maxIter=50, regParam=0.001),
     ]
-    return Pipeline(stages=stages).fit(with_class_weight(fixed))
+    return Pipeline(stages=stages).fit(with_class_weight(table))
 
 
 def score_reorders(model: PipelineModel, table: DataFrame) -> DataFrame:

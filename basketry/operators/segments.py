@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from basketry.operators.baskets import basket_sizes
 from basketry.operators.ranking import ntile_of, with_row_number
-from basketry.session import materialize
 
 RFM = ("recency_days", "frequency", "monetary")
 
@@ -87,7 +86,7 @@ def fit_segments(
 ) -> PipelineModel:
     """KMeans on standardised log measures.
 
-    The measures are written out first, as every iteration reads them.
+    Every iteration reads ``table``, so pass a stored or materialised one.
     """
     assembler = VectorAssembler(
         inputCols=[f"log_{c}" for c in columns], outputCol="_raw"
@@ -97,7 +96,7 @@ def fit_segments(
     )
     kmeans = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="segment")
     stages = Pipeline(stages=[assembler, scaler, kmeans])
-    return stages.fit(materialize(log_measures(table.select(*columns), columns)))
+    return stages.fit(log_measures(table, columns))
 
 
 def log_measures(table: DataFrame, columns: Sequence[str] = RFM) -> DataFrame:

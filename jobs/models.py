@@ -10,7 +10,7 @@ import logging
 from pyspark.sql import functions as F
 
 from basketry.operators import elasticity, forecast, reorder, segments, series
-from basketry.session import build_session
+from basketry.session import build_session, materialize
 from basketry.sources.catalog import Catalog
 from basketry.sources.sink import write_table
 
@@ -22,7 +22,8 @@ def demand(tables: Catalog, out: str) -> None:
     sales = tables.load_m5_sales()
     last = series.last_day(sales)
     daily = series.daily_totals(sales, keys)
-    train, test = series.time_split(forecast.training_frame(daily, keys), last)
+    frame = materialize(forecast.training_frame(daily, keys))
+    train, test = series.time_split(frame, last)
     model = forecast.fit_forecaster(train)
     model.write().overwrite().save(f"{out}/demand_model")
     logger.info("rmse, model and baseline: %s", forecast.forecast_error(model, test))
@@ -31,7 +32,9 @@ def demand(tables: Catalog, out: str) -> None:
 
 
 def segment(tables: Catalog, out: str) -> None:
-    table = segments.rfm_undated(tables.load_orders(), tables.load_order_items())
+    table = materialize(
+        segments.rfm_undated(tables.load_orders(), tables.load_order_items())
+    )
     model = segments.fit_segments(table)
     model.write().overwrite().save(f"{out}/segment_model")
     assigned = segments.assign_segments(model, table).drop("features")
@@ -39,7 +42,9 @@ def segment(tables: Catalog, out: str) -> None:
 
 
 def reorders(tables: Catalog, out: str) -> None:
-    table = reorder.reorder_features(tables.load_orders(), tables.load_order_items())
+    table = materialize(
+        reorder.reorder_features(tables.load_orders(), tables.load_order_items())
+    )
     model = reorder.fit_reorder_model(table)
     model.write().overwrite().save(f"{out}/reorder_model")
     write_table(reorder.score_reorders(model, table), f"{out}/reorder_scores")
