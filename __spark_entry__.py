@@ -18,7 +18,9 @@ from basketry.functions import (
     long_enough,
     mentions_or_missing,
     month_label,
+    percent_text,
     strip_prefix,
+    thousands_text,
     weekday_label,
     weekday_number,
 )
@@ -199,6 +201,21 @@ def reorder_rate(spark, sf_dir):
     return _rounded(rates, reorder_rate=6, first_time_rate=6)
 
 
+@_register("""
+    SELECT format('{:,}', count(*)) AS n_lines,
+           printf('%.1f%%', 100 * avg(CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END))
+               AS reordered
+    FROM lineitem
+""")
+def rate_texts(spark, sf_dir):
+    items = _items(spark, sf_dir)
+    rate = baskets.reorder_rate(items).select("reorder_rate").scalar()
+    return profile.shape(items).select(
+        thousands_text(F.col("n_rows")).alias("n_lines"),
+        percent_text(rate).alias("reordered"),
+    )
+
+
 @_register("""
     SELECT ((dayofweek(o_orderdate) + 1) % 7)::INT AS order_dow, count(*) AS n_orders,
            ['Sat','Sun','Mon','Tue','Wed','Thu','Fri'][(dayofweek(o_orderdate) + 1) % 7 + 1]

@@ -1,6 +1,12 @@
 """Column expressions shared by the operators."""
 
-from basketry.functions.labels import month_label, weekday_label, weekday_number
+from basketry.functions.labels import (
+    month_label,
+    percent_text,
+    thousands_text,
+    weekday_label,
+    weekday_number,
+)
 from basketry.functions.text import (
     long_enough,
     mentions_or_missing,
@@ -11,5 +17,6 @@ from basketry.functions.vectors import cosine, dot, norm, unit
 
 __all__ = [
     "cosine", "dot", "long_enough", "mentions_or_missing", "month_label",
-    "norm", "present", "strip_prefix", "unit", "weekday_label", "weekday_number",
+    "norm", "percent_text", "present", "strip_prefix", "thousands_text", "unit",
+    "weekday_label", "weekday_number",
 ]

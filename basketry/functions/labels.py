@@ -1,4 +1,4 @@
-"""Codes to chart labels."""
+"""Codes and numbers to the texts a report shows."""
 
 from __future__ import annotations
 
@@ -22,3 +22,13 @@ def weekday_label(order_dow: Column) -> Column:
 
 def month_label(month: Column) -> Column:
     return _label(MONTH_LABELS, month)
+
+
+def percent_text(share: Column) -> Column:
+    """``0.5897`` as ``59.0%``."""
+    return F.format_string("%.1f%%", share * 100)
+
+
+def thousands_text(count: Column) -> Column:
+    """``3421083`` as ``3,421,083``."""
+    return F.format_number(count, 0)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -37,17 +38,22 @@ def period_mean(
 
 
 def date_range_and_distincts(
-    sales: DataFrame, date: str = "date", columns: Sequence[str] = ("item_id", "store_id")
+    sales: DataFrame,
+    date: str = "date",
+    columns: Sequence[str] = ("item_id", "store_id"),
+    approximate: bool = False,
 ) -> DataFrame:
     """First and last date and the number of distinct values per column.
 
     Distinct values are reduced column by column, so the aggregate over the
-    whole table only ever sees distinct values, not rows.
+    whole table only ever sees distinct values, not rows. ``approximate``
+    counts with a sketch in one pass, about 2 % off.
     """
+    count = partial(F.approx_count_distinct, rsd=0.02) if approximate else F.count_distinct
     return sales.agg(
         F.min(date).alias("first_date"),
         F.max(date).alias("last_date"),
-        *[F.count_distinct(c).alias(f"n_{c}") for c in columns],
+        *[count(c).alias(f"n_{c}") for c in columns],
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from basketry.functions.labels import month_label, weekday_label
+from basketry.functions.labels import month_label, percent_text, weekday_label
 from basketry.operators import baskets, profile, series
 from basketry.sources.catalog import Catalog
 
@@ -24,7 +24,12 @@ def order_report(tables: Catalog) -> dict[str, DataFrame]:
         "basket_histogram": profile.histogram(sizes, "basket_size", 40, upper=40),
         "top_products": baskets.top_products(items, products),
         "items_by_department": baskets.items_by(items, products),
-        "reorder_rate": baskets.reorder_rate(items),
+        "reorder_rate": baskets.reorder_rate(items).withColumns(
+            {
+                "reordered": percent_text(F.col("reorder_rate")),
+                "first_time": percent_text(F.col("first_time_rate")),
+            }
+        ),
     }
 
 

@@ -9,7 +9,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketry import schemas as S
-from basketry.functions import cosine, mentions_or_missing, month_label, present, weekday_label
+from basketry.functions import (
+    cosine,
+    mentions_or_missing,
+    month_label,
+    percent_text,
+    present,
+    thousands_text,
+    weekday_label,
+)
 from basketry.operators import (
     baskets,
     elasticity,
@@ -52,6 +60,11 @@ def test_labels(spark):
     ]
 
 
+def test_number_texts(spark):
+    row = spark.range(1).select(percent_text(F.lit(0.5897)), thousands_text(F.lit(3421083))).first()
+    assert tuple(row) == ("59.0%", "3,421,083")
+
+
 def test_cosine(spark):
     rows = [([1.0, 0.0], [1.0, 1.0]), ([0.0, 0.0], [1.0, 1.0])]
     df = _frame(spark, rows, "a array<float>, b array<float>")
@@ -353,6 +366,7 @@ def test_range_and_distincts(sold):
     row = series.date_range_and_distincts(df, columns=["item"]).first()
     days = [d for _, d in rows]
     assert tuple(row) == (min(days), max(days), 4)
+    assert series.date_range_and_distincts(df, columns=["item"], approximate=True).first() == row
 
 
 # --- customers --------------------------------------------------------------------
