@@ -28,8 +28,9 @@ def build_session(
     """A session with the engine's settings.
 
     ``master`` stays unset under spark-submit. ``shuffle_partitions`` is the
-    starting count that adaptive execution coalesces from: about three per
-    core on a cluster, a handful in tests.
+    starting count that adaptive execution coalesces from; size it as the
+    largest shuffle's bytes over 200 MB. Unless that or Spark's own setting is
+    given, a cluster starts with three per core.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -38,7 +39,14 @@ def build_session(
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in {**SETTINGS, **(extra or {})}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    setting = "spark.sql.shuffle.partitions"
+    context = spark.sparkContext
+    if not context.master.startswith("local") and setting not in dict(
+        context.getConf().getAll()
+    ):
+        spark.conf.set(setting, str(max(200, 3 * context.defaultParallelism)))
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -83,9 +83,11 @@ def main() -> None:
     parser.add_argument("--tables", required=True, help="folder of the tables")
     parser.add_argument("--models", required=True, help="folder for the results")
     parser.add_argument("--model", choices=sorted(MODELS), action="append")
+    parser.add_argument("--shuffle-partitions", type=int, help="starting shuffle width")
     args = parser.parse_args()
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
-    tables = Catalog(build_session("models"), args.tables)
+    spark = build_session("models", shuffle_partitions=args.shuffle_partitions)
+    tables = Catalog(spark, args.tables)
     for name in args.model or MODELS:
         MODELS[name](tables, args.models.rstrip("/"))
 

@@ -12,9 +12,11 @@ def main() -> None:
     parser.add_argument("--raw", required=True, help="folder of the raw files")
     parser.add_argument("--out", required=True, help="folder of the tables")
     parser.add_argument("--dataset", choices=DATASETS, default="all")
+    parser.add_argument("--shuffle-partitions", type=int, help="starting shuffle width")
     args = parser.parse_args()
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
-    run(build_session("preprocess"), args.raw, args.out, args.dataset)
+    spark = build_session("preprocess", shuffle_partitions=args.shuffle_partitions)
+    run(spark, args.raw, args.out, args.dataset)
 
 
 if __name__ == "__main__":

@@ -12,8 +12,10 @@ def main() -> None:
     parser.add_argument("--tables", required=True, help="folder of the tables")
     parser.add_argument("--part", choices=sorted(REPORTS), action="append")
     parser.add_argument("--rows", type=int, default=40, help="rows shown per answer")
+    parser.add_argument("--shuffle-partitions", type=int, help="starting shuffle width")
     args = parser.parse_args()
-    tables = Catalog(build_session("report"), args.tables)
+    spark = build_session("report", shuffle_partitions=args.shuffle_partitions)
+    tables = Catalog(spark, args.tables)
     for part in args.part or REPORTS:
         for title, answer in REPORTS[part](tables).items():
             print(f"== {title}")

@@ -15,15 +15,6 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="the given tables are not here")
-@pytest.mark.parametrize("name", sorted(driver.queries()))
-def test_no_cross_join_and_no_python_workers(spark, name):
-    query = driver.queries()[name]
-    plan = _plan(query(spark, SF_DIR))
-    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "InArrow"):
-        assert node not in plan
-
-
 @pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="the given tables are not here")
 def test_filters_and_columns_reach_the_scan(spark):
     plan = _plan(driver.queries()["filtered_sales"](spark, SF_DIR))
