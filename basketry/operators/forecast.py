@@ -54,13 +54,12 @@ def future_frame(
     No look-back is nearer than the horizon, so all features are known. Only
     the recent days with sales are looked at; the history is not filled.
     """
-    ahead = F.sequence(
-        F.date_add(last, 1), F.date_add(last, horizon), F.expr("interval 1 day")
-    )
+    ahead = F.explode(F.sequence(F.lit(1), F.lit(horizon)))
     future = (
         daily.groupBy(*keys)
         .agg(F.min(date).alias("_start"))
-        .select(*keys, F.explode(ahead).alias(date), "_start")
+        .select(*keys, ahead.alias("_ahead"), "_start")
+        .select(*keys, F.date_add(last, F.col("_ahead")).alias(date), "_start")
     )
     deepest = max(back for back, _ in TRAILING)
     recent = daily.where(F.col(date) > F.date_sub(last, deepest))

@@ -101,11 +101,14 @@ def zero_filled_period_mean(
     spans = daily.groupBy(*keys).agg(
         F.min(date).alias("_first"), F.max(date).alias("_last")
     )
-    months = F.sequence(
-        F.trunc("_first", "month"), F.col("_last"), F.expr("interval 1 month")
+    n_months = (
+        (F.year("_last") - F.year("_first")) * 12 + F.month("_last") - F.month("_first")
     )
     active = (
-        spans.select("_first", "_last", F.explode(months).alias("_month"))
+        spans.select(
+            "_first", "_last", F.explode_outer(F.sequence(F.lit(0), n_months)).alias("_n")
+        )
+        .withColumn("_month", F.add_months(F.trunc("_first", "month"), F.col("_n")))
         .select(
             F.month("_month").alias("month"),
             (
