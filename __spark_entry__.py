@@ -9,6 +9,11 @@ product catalogue and ``embeddings`` for product vectors. A returned line
 
 from __future__ import annotations
 
+import atexit
+import functools
+import re
+import shutil
+import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -38,7 +43,7 @@ from basketry.operators import (
 )
 from basketry import schemas as S
 from basketry.plans import ingest
-from basketry.session import materialize, shared_dir
+from basketry.session import materialize, named_shared_dir, shared_dir
 from basketry.sources.catalog import Catalog
 from basketry.sources.sink import write_table
 
@@ -1094,14 +1099,53 @@ def load_catalogue(spark, sf_dir):
 
 
 # --- driver entry points ----------------------------------------------------------------
+def _with_shared_dir(query: Query) -> Query:
+    """Names a folder for intermediate tables where the session has none.
+
+    Only for a local master, whose driver and executors are one process; the
+    folder goes when the process ends.
+    """
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        master = spark.sparkContext.master
+        if not named_shared_dir(spark) and re.fullmatch(r"local(\[.*\])?", master):
+            folder = tempfile.mkdtemp(prefix="basketry-shared-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+            spark.sparkContext.setCheckpointDir(folder)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship query: the most ordered products and their reorder rate."""
     return top_products(spark, "/root/testdata/sf0.001")
 
 
+def _own_queries() -> dict[str, tuple[Query, str | None]]:
+    return dict(_REGISTERED)
+
+
+def _all_queries() -> dict[str, tuple[Query, str | None]]:
+    """The library's own queries, and those of the subpackage that may be left out."""
+    found = _own_queries()
+    try:
+        import corpus_pipeline
+        from basketry.llm import queries as llm
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "basketry.llm"):
+            raise
+        return found
+    for name, query in llm.QUERIES.items():
+        found[name] = (query, llm.ORACLE_SQL.get(name))
+    found["pipeline"] = (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)
+    return found
+
+
 def queries() -> dict[str, Query]:
-    return {name: query for name, (query, _) in _REGISTERED.items()}
+    return {name: _with_shared_dir(query) for name, (query, _) in _all_queries().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, (_, sql) in _REGISTERED.items() if sql}
+    return {name: sql for name, (_, sql) in _all_queries().items() if sql}

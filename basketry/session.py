@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,32 +41,26 @@ def build_session(
     spark = builder.getOrCreate()
     setting = "spark.sql.shuffle.partitions"
     context = spark.sparkContext
-    if not context.master.startswith("local") and setting not in dict(
-        context.getConf().getAll()
-    ):
+    if setting not in dict(context.getConf().getAll()):
         spark.conf.set(setting, str(max(200, 3 * context.defaultParallelism)))
     return spark
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder that outlives executors, named by spark.checkpoint.dir.
-
-    Only a local master, where driver and executors are one process, may fall
-    back to a temporary folder of its own.
-    """
+def named_shared_dir(spark: SparkSession) -> str | None:
+    """The folder in spark.checkpoint.dir, or the context's, if one is set."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    named = named or spark.sparkContext.getCheckpointDir()
+    return named.rstrip("/") if named else None
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The shared folder that outlives executors, named by spark.checkpoint.dir."""
+    named = named_shared_dir(spark)
+    if not named:
         raise RuntimeError(
             "set spark.checkpoint.dir to a folder every executor can reach"
         )
-    folder = tempfile.mkdtemp(prefix="basketry-shared-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return named
 
 
 def materialize(df: DataFrame) -> DataFrame:

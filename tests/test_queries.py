@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as driver
 
+OWN = driver._own_queries()
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(
     not Path(SF_DIR).is_dir(), reason="the given tables are not here"
@@ -42,23 +43,23 @@ def _bag(frame):
 
 def _run(spark, name):
     """The query's rows, from a plan without cross joins and Python workers."""
-    result = driver.queries()[name](spark, SF_DIR)
+    result = OWN[name][0](spark, SF_DIR)
     plan = result._jdf.queryExecution().executedPlan().toString()
     for node in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas", "InArrow"):
         assert node not in plan
     return result.toPandas()
 
 
-@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(n for n, (_, sql) in OWN.items() if sql))
 def test_query_equals_sql(spark, duck, name):
     ours = _run(spark, name)
-    theirs = duck.sql(driver.oracle_sql()[name]).df()
+    theirs = duck.sql(OWN[name][1]).df()
     assert sorted(ours.columns) == sorted(theirs.columns)
     assert len(ours) > 0
     assert _bag(ours) == _bag(theirs)
 
 
-@pytest.mark.parametrize("name", sorted(set(driver.queries()) - set(driver.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(n for n, (_, sql) in OWN.items() if not sql))
 def test_query_without_sql_returns_rows(spark, name):
     assert len(_run(spark, name)) > 0
 
