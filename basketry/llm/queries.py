@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from basketry.llm import idfiles, packing
+from basketry.llm import idfiles, neardup, packing
 from basketry.llm.common import table
 from basketry.session import shared_dir
 
@@ -25,6 +25,11 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents, by two-word shingles."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2, threshold=80)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 1024 tokens."""
     docs = table(spark, sf_dir, "documents")
@@ -33,7 +38,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op3_token_files, op10_packing)
+    for query in (op3_token_files, op5_near_duplicates, op10_packing)
 }
 
 ORACLE_SQL: dict[str, str] = {}
