@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from basketry.llm import idfiles, neardup, packing
+from basketry.llm import euclid, idfiles, mixing, neardup, packing
 from basketry.llm.common import table
 from basketry.session import shared_dir
 
@@ -30,6 +30,25 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2, threshold=80)
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document a mix to target weights takes."""
+    planned = mixing.plan_mix(
+        table(spark, sf_dir, "documents"), weights=(5.0, 2.0, 1.0), share=1.5, most=2
+    )
+    return planned.select(
+        "doc_id",
+        F.col("mix_size").alias("size"),
+        F.col("mix_source_size").alias("source_size"),
+        F.col("mix_target").alias("target"),
+        (F.col("mix_size") * F.size("mix_shards")).alias("taken"),
+    )
+
+
+def op8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of each label at a cosine of 0.93 or more."""
+    return euclid.near_vectors(table(spark, sf_dir, "embeddings"), least_cosine=0.93)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 1024 tokens."""
     docs = table(spark, sf_dir, "documents")
@@ -38,7 +57,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op3_token_files, op5_near_duplicates, op10_packing)
+    for query in (op3_token_files, op5_near_duplicates, op6_mixing, op8_near_vectors, op10_packing)
 }
 
 ORACLE_SQL: dict[str, str] = {}
