@@ -21,7 +21,7 @@ from basketry.llm.common import SEED
 from basketry.session import materialize
 
 #: Documents in a block on average, blocks in a group, words in a shard.
-BLOCK_DOCS, GROUP_BLOCKS, SHARD_WORDS = 256, 1024, 1 << 26
+BLOCK_DOCS, GROUP_BLOCKS, SHARD_WORDS = 256, 1024, 1 << 22
 
 _WHITE = " \t\n\x0b\x0c\r"
 
@@ -322,15 +322,17 @@ def plan_mix(
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed rows of ``docs``, each as often as it is taken, in shards.
 
-    Adds mix_shard and mix_position, the row's place after the shard's shuffle.
-    A shard holds about ``shard_words`` words and is ordered in one task.
+    Adds mix_shard and mix_order; each shard lies in one partition, sorted by
+    mix_order, which is its shuffle. A shard holds about ``shard_words`` words.
     Options and edge cases are those of ``plan_mix``.
     """
     planned = plan_mix(docs, **options)
-    drawn = planned.select(*planned.columns, F.posexplode("mix_shards").alias("mix_round", "mix_shard"))
-    order = Window.partitionBy("mix_shard").orderBy(
-        F.xxhash64("mix_key", "mix_round"), "mix_key", "mix_round"
+    drawn = planned.select(
+        *docs.columns, "mix_key", F.posexplode("mix_shards").alias("mix_round", "mix_shard")
     )
-    return drawn.withColumn("mix_position", F.row_number().over(order)).select(
-        *docs.columns, "mix_shard", "mix_position"
+    order = F.xxhash64(F.lit(SEED), "mix_key", "mix_round")
+    return (
+        drawn.select(*docs.columns, "mix_shard", order.alias("mix_order"))
+        .repartition("mix_shard")
+        .sortWithinPartitions("mix_shard", "mix_order")
     )

@@ -71,21 +71,30 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0][:n], _POWERS[1][:n]
 
 
-def shingles(text: str, words: int = 2) -> np.ndarray:
-    """The text's distinct shingles as sorted 64-bit hashes.
+def word_hashes(text: str) -> np.ndarray:
+    """64-bit hashes of the text's words in order.
 
     A-Z are lower-cased; words are runs of bytes other than space and tab to
-    carriage return. A text of fewer words is one shingle; without words none.
+    carriage return.
     """
-    data = np.frombuffer(b" " + text.encode("utf-8", "surrogatepass").translate(_FOLD) + b" ", np.uint8)
+    folded = text.encode("utf-8", "surrogatepass").translate(_FOLD)
+    data = np.frombuffer(b" " + folded + b" ", np.uint8)
     edge = np.diff((data != 32).view(np.int8))
     starts, ends = np.flatnonzero(edge == 1) + 1, np.flatnonzero(edge == -1) + 1
-    if not len(starts):
-        return np.zeros(0, _U)
     up, down = _powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, _U)
     np.cumsum((data.astype(_U) + _U(1)) * up[:-1], out=sums[1:])
-    one = _mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U))
+    return _mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U))
+
+
+def shingles(text: str, words: int = 2) -> np.ndarray:
+    """The text's distinct shingles as sorted 64-bit hashes.
+
+    A text of fewer words is one shingle; without words there is none.
+    """
+    one = word_hashes(text)
+    if not len(one):
+        return one
     width = min(words, len(one))
     whole = one[: len(one) - width + 1].copy()
     for i in range(1, width):
@@ -345,3 +354,22 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = 80) -> Dat
     return named.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     )
+
+
+def deduplicate(docs: DataFrame, words: int = 5, threshold: int = 80) -> DataFrame:
+    """The rows of ``docs``, one document of each group of near-duplicates.
+
+    The smallest doc_id of a group stays, once if its row repeats. Rows without
+    doc_id all stay.
+    """
+    found = near_duplicates(docs, words, threshold)
+    kept = materialize(
+        found.where("kept AND doc_id IS NOT NULL")
+        .groupBy(F.col("doc_id").alias("_kept_id"))
+        .agg(F.count("*").alias("_rows"))
+    )
+    unnamed = docs.where(F.col("doc_id").isNull())
+    rows = docs.join(kept, F.col("doc_id").cast("long") == F.col("_kept_id"), "left_semi")
+    if not kept.where("_rows > 1").isEmpty():
+        rows = rows.dropDuplicates(["doc_id"])
+    return rows.unionByName(unnamed)

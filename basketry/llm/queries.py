@@ -8,13 +8,25 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from basketry.llm import euclid, idfiles, mixing, neardup, packing
-from basketry.llm.common import table
+from basketry.llm import euclid, idfiles, mixing, neardup, packing, quality, toxicity
+from basketry.llm.common import in_folds, table
 from basketry.session import shared_dir
 
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents, learned outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        in_folds(F.col("doc_id"), [0]).alias("held_out"),
+        F.col("toxic_score").alias("score"),
+        (F.col("toxic_score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as coded id files, read back."""
     path = f"{shared_dir(spark)}/op3-{uuid.uuid4().hex}"
@@ -44,6 +56,12 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents by importance resampling: which are selected."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.select(docs, table(spark, sf_dir, "labels")).drop("text")
+
+
 def op8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate vectors of each label at a cosine of 0.93 or more."""
     return euclid.near_vectors(table(spark, sf_dir, "embeddings"), least_cosine=0.93)
@@ -57,7 +75,15 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op3_token_files, op5_near_duplicates, op6_mixing, op8_near_vectors, op10_packing)
+    for query in (
+        op2_toxicity,
+        op3_token_files,
+        op5_near_duplicates,
+        op6_mixing,
+        op7_quality,
+        op8_near_vectors,
+        op10_packing,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {}

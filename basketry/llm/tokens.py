@@ -4,24 +4,35 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Sequence
 
-import numpy as np
-
 #: Words kept in the cache of one Python worker, and the longest one kept.
-CACHE_WORDS, CACHE_CHARS = 300_000, 40
+CACHE_WORDS, CACHE_CHARS = 700_000, 40
 
 _INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _ODD_SPACE = re.compile(r" \s|\s ")
+#: Marks that end a word; none opens a contraction.
+_MARKS = ".,;:!?%&$#*|-"
+
+
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte value: its own if it is printed."""
+    printed = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return [chr(b) if b in printed else chr(next(others)) for b in range(256)]
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit integers.
+    """Ids of texts as unsigned 32-bit integers, in the machine's byte order (little-endian
+    wherever Spark runs).
 
     A byte-level tokenizer never lets a piece cross a single space between two
     other characters: the space opens the piece that follows. So a text is cut
     there, each distinct word goes through the tokenizer once, and the ids are
-    joined. A tokenizer of another kind gets the whole texts.
+    joined. A word of letters, with or without marks behind it, is one or two
+    pieces and goes straight to the tokenizer's model. A tokenizer of another
+    kind gets the whole texts.
     """
 
     def __init__(self, path: str):
@@ -36,12 +47,43 @@ class Encoder:
             and before.get("use_regex", True)
             and not before.get("add_prefix_space")
             and not kind.get("normalizer")
+            and kind["model"]["type"] == "BPE"
         )
         self.words: dict[str, bytes] = {}  # ids of " " + word
+        self.tails: dict[str, bytes] = {}  # ids of marks
+        self.letters = {i: x for i, x in enumerate(_byte_letters())}
+        self.piece = self.tokenizer.model.tokenize
 
     def _ids(self, texts: Sequence[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        return [array("I", x.ids).tobytes() for x in found]
+
+    def _piece(self, text: str) -> bytes:
+        """Ids of one piece."""
+        mapped = text.encode().decode("latin-1").translate(self.letters)
+        return array("I", [x.id for x in self.piece(mapped)]).tobytes()
+
+    def _words(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of a space and each word."""
+        out, known, rest = {}, self.words, []
+        for word in words:
+            stem = word.rstrip(_MARKS)
+            if not stem.isalpha():
+                rest.append(word)
+                continue
+            ids = known.get(stem) or out.get(stem)
+            if ids is None:
+                ids = out[stem] = self._piece(f" {stem}")
+            if len(stem) < len(word):
+                marks = word[len(stem) :]
+                tail = self.tails.get(marks)
+                if tail is None:
+                    tail = self._piece(marks)
+                    if len(self.tails) < 1000:
+                        self.tails[marks] = tail
+                out[word] = ids + tail
+        out.update(zip(rest, self._ids([f" {w}" for w in rest])))
+        return out
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         if not self.by_word:
@@ -53,8 +95,8 @@ class Encoder:
         heads = dict(zip(firsts := list({c[0] for c in cut}), self._ids(firsts)))
         known = self.words
         new = {w for c in cut for w in c[1:] if w not in known}
-        room, passing = max(0, CACHE_WORDS - len(known)), []
-        for word, ids in zip(new, self._ids([f" {w}" for w in new])):
+        room, passing = CACHE_WORDS - len(known), []
+        for word, ids in self._words(new).items():
             known[word] = ids
             if len(word) > CACHE_CHARS or room <= 0:
                 passing.append(word)
