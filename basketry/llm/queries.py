@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from basketry.llm import euclid, idfiles, mixing, neardup, packing, quality, toxicity
+from basketry.llm import euclid, forest, idfiles, mixing, neardup, packing, quality, toxicity
 from basketry.llm.common import in_folds, table
 from basketry.session import shared_dir
 
@@ -37,6 +37,12 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every vector whose id is divisible by 100."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return forest.nearest(vectors, F.col("vec_id") % 100 == 0, k=10)
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents, by two-word shingles."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2, threshold=80)
@@ -78,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for query in (
         op2_toxicity,
         op3_token_files,
+        op4_nearest,
         op5_near_duplicates,
         op6_mixing,
         op7_quality,
