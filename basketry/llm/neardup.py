@@ -71,13 +71,13 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0][:n], _POWERS[1][:n]
 
 
-def word_hashes(text: str) -> np.ndarray:
+def word_hashes(text: str, fold: bytes = _FOLD) -> np.ndarray:
     """64-bit hashes of the text's words in order.
 
-    A-Z are lower-cased; words are runs of bytes other than space and tab to
-    carriage return.
+    By default A-Z are lower-cased and words are runs of bytes other than space
+    and tab to carriage return; ``fold`` is the table of bytes that does so.
     """
-    folded = text.encode("utf-8", "surrogatepass").translate(_FOLD)
+    folded = text.encode("utf-8", "surrogatepass").translate(fold)
     data = np.frombuffer(b" " + folded + b" ", np.uint8)
     edge = np.diff((data != 32).view(np.int8))
     starts, ends = np.flatnonzero(edge == 1) + 1, np.flatnonzero(edge == -1) + 1

@@ -8,13 +8,30 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from basketry.llm import euclid, forest, idfiles, mixing, neardup, packing, quality, toxicity
+from basketry.llm import (
+    euclid,
+    forest,
+    idfiles,
+    licences,
+    mixing,
+    neardup,
+    packing,
+    pages,
+    quality,
+    toxicity,
+)
 from basketry.llm.common import in_folds, table
 from basketry.session import shared_dir
 
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    extracted = pages.extract(table(spark, sf_dir, "pages"))
+    return extracted.select("page_id", "url", "text", "n_chars")
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents, learned outside the held-out fold."""
     docs = table(spark, sf_dir, "documents")
@@ -73,6 +90,12 @@ def op8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return euclid.near_vectors(table(spark, sf_dir, "embeddings"), least_cosine=0.93)
 
 
+def op9_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence notices of all documents, a row each."""
+    docs = table(spark, sf_dir, "documents")
+    return licences.scan(docs, licences.fit(docs))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 1024 tokens."""
     docs = table(spark, sf_dir, "documents")
@@ -82,6 +105,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
+        op1_main_text,
         op2_toxicity,
         op3_token_files,
         op4_nearest,
@@ -89,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_mixing,
         op7_quality,
         op8_near_vectors,
+        op9_licences,
         op10_packing,
     )
 }
