@@ -17,6 +17,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from basketry.functions import (
@@ -427,7 +428,7 @@ def first_rows(spark, sf_dir):
         SELECT d.doc_id, source, lang, quality
         FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
     WHERE source IS NOT NULL AND lang IS NOT NULL AND quality IS NOT NULL
-    ORDER BY (doc_id * 40503) % 65521, doc_id LIMIT 5
+    ORDER BY (doc_id % 65521) * 40503 % 65521, doc_id LIMIT 5
 """)
 def sample_hash(spark, sf_dir):
     columns = ["doc_id", "source", "lang", "quality"]
@@ -442,6 +443,26 @@ def sample_random(spark, sf_dir):
     return profile.sample_rows(_documents_labelled(spark, sf_dir), columns, 5, seed=42)
 
 
+@_register("""
+    SELECT least(5, count(*)) AS n_rows, least(5, count(*)) AS n_distinct, true AS complete
+    FROM documents JOIN labels USING (doc_id)
+    WHERE source IS NOT NULL AND lang IS NOT NULL AND quality IS NOT NULL
+""")
+def sample_random_checks(spark, sf_dir):
+    """Facts of a random sample: distinct complete rows of the table."""
+    columns = ["doc_id", "source", "lang", "quality"]
+    table = _documents_labelled(spark, sf_dir)
+    picked = profile.sample_rows(table, columns, 5, seed=42)
+    complete = F.lit(True)
+    for column in columns:
+        complete = complete & F.col(column).isNotNull()
+    return picked.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("doc_id").alias("n_distinct"),
+        F.bool_and(complete).alias("complete"),
+    )
+
+
 # --- filters, projections, reshape, joins, unions -------------------------------------
 @_register("""
     SELECT l_orderkey, l_partkey, l_quantity FROM lineitem
@@ -645,6 +666,37 @@ def segments_kmeans(spark, sf_dir):
     return segments.assign_segments(model, table).drop("features")
 
 
+@_register("""
+    SELECT count(DISTINCT o_custkey) AS n_customers, count(DISTINCT o_custkey) AS n_rows,
+           4::BIGINT AS n_segments, true AS nearest_centre FROM orders
+""")
+def segments_kmeans_checks(spark, sf_dir):
+    """Facts of the segmentation: each customer once, at the nearest centre."""
+    table = materialize(_rfm(spark, sf_dir))
+    model = segments.fit_segments(table, k=4)
+    centres = [[float(x) for x in c] for c in model.stages[-1].clusterCenters()]
+    assigned = segments.assign_segments(model, table).withColumn(
+        "_at", vector_to_array("features")
+    )
+    gaps = F.array(
+        *[
+            F.aggregate(
+                F.zip_with("_at", F.lit(c), lambda x, y: (x - y) * (x - y)),
+                F.lit(0.0),
+                lambda acc, x: acc + x,
+            )
+            for c in centres
+        ]
+    )
+    own = F.element_at("_gaps", F.col("segment") + 1)
+    return assigned.withColumn("_gaps", gaps).agg(
+        F.count_distinct("user_id").alias("n_customers"),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("segment").alias("n_segments"),
+        F.bool_and(own <= F.array_min("_gaps") + 1e-9).alias("nearest_centre"),
+    )
+
+
 def _numbered_orders(spark, sf_dir):
     return ranking.with_number_in_group(
         _orders(spark, sf_dir).select("order_id", "user_id", "order_date"),
@@ -672,13 +724,15 @@ def _brand_items(spark, sf_dir):
              SELECT user_id, p_brand AS product_id, last,
                     count(DISTINCT CASE WHEN num < last THEN num END) AS times_bought,
                     max(CASE WHEN num < last THEN num END) AS recent,
-                    max((num = last)::INT) AS label
+                    max((num = last)::INT) AS again,
+                    max(max((num = last)::INT)) OVER (PARTITION BY user_id) AS told
              FROM lineitem JOIN part ON l_partkey = p_partkey
              JOIN numbered ON l_orderkey = o_orderkey
              GROUP BY 1, 2, 3)
     SELECT user_id, product_id, times_bought,
            round(times_bought / (last - 1), 6) AS order_share,
-           last - recent AS orders_since, last - 1 AS n_orders, label
+           last - recent AS orders_since, last - 1 AS n_orders,
+           CASE WHEN told = 1 THEN again END AS label
     FROM bought WHERE times_bought > 0
 """)
 def reorder_features(spark, sf_dir):
@@ -688,15 +742,94 @@ def reorder_features(spark, sf_dir):
     return _rounded(features, order_share=6)
 
 
+_NUMBERED_SQL = """
+    SELECT o_orderkey, o_custkey AS user_id,
+           row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)::INT AS num,
+           count(*) OVER (PARTITION BY o_custkey)::INT AS last
+    FROM orders
+"""
+
+
+def _half_known_items(spark, sf_dir):
+    """Order lines without those of orders whose key is even: their content is unknown."""
+    return _brand_items(spark, sf_dir).where(F.col("order_id") % 2 == 1)
+
+
+@_register(f"""
+    WITH numbered AS ({_NUMBERED_SQL}),
+         lines AS (
+             SELECT user_id, p_brand AS product_id, o_orderkey, num, last
+             FROM lineitem JOIN part ON l_partkey = p_partkey
+             JOIN numbered ON l_orderkey = o_orderkey WHERE o_orderkey % 2 = 1),
+         known AS (SELECT user_id, bool_or(num = last) AS told FROM lines GROUP BY 1),
+         bought AS (
+             SELECT user_id, product_id, max((num = last)::INT) AS again
+             FROM lines GROUP BY 1, 2 HAVING count_if(num < last) > 0)
+    SELECT CASE WHEN told THEN again END AS label, count(*) AS n
+    FROM bought JOIN known USING (user_id) GROUP BY 1
+""")
+def reorder_labels(spark, sf_dir):
+    """Labels where some customers' last order has no lines: those have none."""
+    features = reorder.reorder_features(
+        _numbered_orders(spark, sf_dir), _half_known_items(spark, sf_dir)
+    )
+    return features.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@_register(f"""
+    WITH numbered AS ({_NUMBERED_SQL}),
+         lines AS (
+             SELECT user_id, p_brand AS product_id, num, last
+             FROM lineitem JOIN part ON l_partkey = p_partkey
+             JOIN numbered ON l_orderkey = o_orderkey WHERE o_orderkey % 2 = 1),
+         done AS (SELECT user_id, CASE WHEN bool_or(num = last) THEN max(last)
+                                       ELSE max(last) - 1 END AS n_orders
+                  FROM lines GROUP BY 1)
+    SELECT user_id, product_id, count(DISTINCT num) AS times_bought,
+           round(count(DISTINCT num) / n_orders, 6) AS order_share,
+           n_orders + 1 - max(num) AS orders_since, n_orders
+    FROM lines JOIN done USING (user_id) GROUP BY user_id, product_id, n_orders
+""")
+def next_order_features(spark, sf_dir):
+    features = reorder.next_order_features(
+        _numbered_orders(spark, sf_dir), _half_known_items(spark, sf_dir)
+    )
+    return _rounded(features, order_share=6)
+
+
+def _reorder_fit(spark, sf_dir):
+    orders, items = _numbered_orders(spark, sf_dir), _brand_items(spark, sf_dir)
+    features = materialize(reorder.reorder_features(orders, items))
+    fits, tests = reorder.split_customers(features)
+    return reorder.fit_reorder_model(fits), tests, orders, items
+
+
 @_register()
 def reorder_model(spark, sf_dir):
-    features = materialize(
-        reorder.reorder_features(
-            _numbered_orders(spark, sf_dir), _brand_items(spark, sf_dir)
-        )
-    )
-    model = reorder.fit_reorder_model(features)
-    return reorder.score_reorders(model, features)
+    """Probabilities for every customer's next order."""
+    model, _, orders, items = _reorder_fit(spark, sf_dir)
+    upcoming = reorder.next_order_features(orders, items)
+    return reorder.score_reorders(model, upcoming)
+
+
+@_register(f"""
+    WITH numbered AS ({_NUMBERED_SQL}),
+         lines AS (SELECT DISTINCT user_id, p_brand AS product_id
+                   FROM lineitem JOIN part ON l_partkey = p_partkey
+                   JOIN numbered ON l_orderkey = o_orderkey)
+    SELECT count(*) AS n_rows, count(DISTINCT user_id) AS n_users,
+           true AS in_range, true AS beats_chance FROM lines
+""")
+def reorder_model_checks(spark, sf_dir):
+    """Facts of the model: a score per pair; held-out customers better than chance."""
+    model, tests, orders, items = _reorder_fit(spark, sf_dir)
+    scored = reorder.score_reorders(model, reorder.next_order_features(orders, items))
+    area = reorder.area_under_roc(model.transform(tests))
+    return scored.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("user_id").alias("n_users"),
+        F.bool_and(F.col("reorder_probability").between(0, 1)).alias("in_range"),
+    ).withColumn("beats_chance", F.lit(area > 0.5))
 
 
 # --- prices -------------------------------------------------------------------------
@@ -813,16 +946,59 @@ def substitutes(spark, sf_dir):
 
 
 # --- demand -------------------------------------------------------------------------
-@_register()
-def demand_forecast(spark, sf_dir):
-    keys = ["department"]
+def _forecast(spark, sf_dir, keys, **params):
+    """The forecast of the next 28 days; the model has the declared defaults."""
     last = series.last_day(_sales(spark, sf_dir))
     daily = series.daily_totals(_by_product(spark, sf_dir), keys)
-    frame = materialize(forecast.training_frame(daily, keys))
+    frame = materialize(forecast.training_frame(daily, keys, last))
     train, _ = series.time_split(frame, last)
-    model = forecast.fit_forecaster(train, maxIter=10, maxDepth=4)
+    model = forecast.fit_forecaster(train, **params)
     future = forecast.future_frame(daily, keys, last)
-    return _rounded(forecast.forecast(model, future, keys), forecast=4)
+    return forecast.forecast(model, future, keys)
+
+
+@_register()
+def demand_forecast(spark, sf_dir):
+    return _rounded(_forecast(spark, sf_dir, ["department"]), forecast=4)
+
+
+@_register("""
+    SELECT p_type AS department, 28::BIGINT AS n_days,
+           (SELECT max(l_shipdate)::DATE + 1 FROM lineitem) AS first_day,
+           (SELECT max(l_shipdate)::DATE + 28 FROM lineitem) AS last_day, true AS none_negative
+    FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1
+""")
+def baseline_days(spark, sf_dir):
+    """The baseline has all 28 days of every series, days without sales too."""
+    daily = series.daily_totals(_by_product(spark, sf_dir), ["department", "product_id"])
+    last = series.last_day(_sales(spark, sf_dir))
+    ahead = forecast.seasonal_naive(daily, ["department", "product_id"], last)
+    per_day = ahead.groupBy("department", "date").agg(F.min("forecast").alias("least"))
+    return per_day.groupBy("department").agg(
+        F.count(F.lit(1)).alias("n_days"),
+        F.min("date").alias("first_day"),
+        F.max("date").alias("last_day"),
+        F.bool_and(F.col("least") >= 0).alias("none_negative"),
+    )
+
+
+@_register("""
+    SELECT p_type AS department, 28::BIGINT AS n_days, 28::BIGINT AS n_distinct,
+           true AS none_negative
+    FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1
+""")
+def forecast_days(spark, sf_dir):
+    """The forecast has all 28 days of every series, whatever the model.
+
+    Its rows do not depend on the trees, so this one has few; ``demand_forecast``
+    has the declared ones.
+    """
+    ahead = _forecast(spark, sf_dir, ["department"], maxIter=5)
+    return ahead.groupBy("department").agg(
+        F.count(F.lit(1)).alias("n_days"),
+        F.count_distinct("date").alias("n_distinct"),
+        F.bool_and(F.col("forecast") >= 0).alias("none_negative"),
+    )
 
 
 @_register("""
@@ -859,7 +1035,7 @@ def future_features(spark, sf_dir):
         WHERE l_shipdate::DATE > (SELECT max(l_shipdate)::DATE - 28 FROM lineitem)
         GROUP BY 1)
     SELECT product_id, demand, p_size AS on_hand, demand - p_size AS shortfall
-    FROM demand JOIN part ON p_partkey = product_id WHERE demand > p_size
+    FROM demand LEFT JOIN part ON p_partkey = product_id WHERE demand > p_size
 """)
 def stockout_risk(spark, sf_dir):
     sales = _sales(spark, sf_dir).withColumnRenamed("item_id", "product_id")
@@ -871,6 +1047,24 @@ def stockout_risk(spark, sf_dir):
     return forecast.stockout_risk(ahead, stock, ["product_id"])
 
 
+@_register("""
+    WITH demand AS (
+        SELECT l_partkey AS product_id, sum(l_quantity) AS demand FROM lineitem
+        WHERE l_shipdate::DATE > (SELECT max(l_shipdate)::DATE - 28 FROM lineitem)
+        GROUP BY 1)
+    SELECT product_id, demand, 0 AS on_hand, demand AS shortfall FROM demand
+""")
+def stockout_unknown_stock(spark, sf_dir):
+    """Products whose stock is not known count as having none."""
+    sales = _sales(spark, sf_dir).withColumnRenamed("item_id", "product_id")
+    daily = series.daily_totals(sales, ["product_id"])
+    ahead = forecast.seasonal_naive(daily, ["product_id"], series.last_day(sales))
+    none = _table(spark, sf_dir, "part").where("p_partkey < 0").select(
+        F.col("p_partkey").alias("product_id"), F.col("p_size").alias("on_hand")
+    )
+    return forecast.stockout_risk(ahead, none, ["product_id"])
+
+
 # --- raw files: the given tables written as text, then built into tables ---------------
 def _raw_folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/raw-{uuid.uuid4().hex}"

@@ -45,7 +45,7 @@ def cross_elasticity(
     points: DataFrame,
     category: str = "category",
     period: str = "period",
-    drivers: Sequence[str] | None = None,
+    drivers: Sequence[str] = (),
     batch: int = 100,
 ) -> DataFrame:
     """Slope of one category's log quantity on another one's log price.
@@ -55,12 +55,17 @@ def cross_elasticity(
     joined once; all slopes then come out of one aggregation. So rows never
     multiply by category pairs, only the result has a row per pair.
 
-    Without ``drivers`` every category is one; their names are then looked up
-    by a job. Drivers are handled ``batch`` at a time to bound the width.
+    The drivers are named by the caller, as the result has a row for each of
+    them and each category; without any it is empty. They are handled ``batch``
+    at a time to bound the width: pass stored points if there are more.
     """
-    if drivers is None:
-        names = points.select(category).distinct().orderBy(category)
-        drivers = [row[0] for row in names.toLocalIterator()]
+    if not drivers:
+        return points.select(
+            category,
+            F.lit("").alias("driver"),
+            F.lit(0.0).alias("elasticity"),
+            F.lit(0).cast("bigint").alias("n_points"),
+        ).limit(0)
     parts = [
         _cross_batch(points, category, period, drivers[i : i + batch])
         for i in range(0, len(drivers), batch)

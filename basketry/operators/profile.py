@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from basketry.operators.ranking import exact_quantiles
 
@@ -47,15 +47,15 @@ def top_values(df: DataFrame, column: str, n: int = 20, name: str = "n") -> Data
     return value_counts(df, column, name).orderBy(F.desc(name), column).limit(n)
 
 
-def describe(df: DataFrame, column: str, quantiles: str = "counted") -> DataFrame:
+def describe(df: DataFrame, column: str, quantiles: str = "approximate") -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum as one row.
 
     ``quantiles`` picks how the quartiles are found:
 
+    * ``approximate``: the default; bounded memory, rank error 1/10000.
     * ``counted``: exact, in the same pass. Keeps one counter per distinct
       value, so it is for columns of a bounded domain such as basket sizes.
     * ``ranked``: exact for any column, by a distributed sort; runs a job.
-    * ``approximate``: bounded memory, relative rank error 1/10000.
     """
     value = F.col(column)
     basics = [
@@ -138,6 +138,11 @@ def sample_rows(
 
 
 def sample_by_key(df: DataFrame, columns: Sequence[str], key: str, n: int = 5) -> DataFrame:
-    """``n`` complete rows picked by scattered key order, the same every time."""
-    scattered = (F.col(key) * 40503) % 65521
+    """``n`` complete rows picked by scattered key order, the same every time.
+
+    Whole numbers of any size are scattered by arithmetic that other engines
+    can repeat, keys of other types by a hash.
+    """
+    whole = isinstance(df.schema[key].dataType, T.IntegralType)
+    scattered = (F.col(key) % 65521) * 40503 % 65521 if whole else F.xxhash64(key)
     return complete_rows(df, columns).orderBy(scattered, key).limit(n)

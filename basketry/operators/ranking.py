@@ -161,12 +161,52 @@ def with_number_in_group(
     """``row_number`` within ``keys``, spread like ``with_previous``.
 
     A row's number is its global position less the first position of its
-    group. Runs a job.
+    group. Where a group began in an earlier range, that position is carried
+    over from range to range, so nothing is joined on the keys. Runs a job.
     """
-    numbered = with_row_number(df, [*keys, *order], "_global")
-    first = numbered.groupBy(*keys).agg(F.min("_global").alias("_first"))
+    numbered = _with_start(df, keys, order)
+    number = F.col(_GLOBAL) - F.col(_START) + 1
+    return numbered.withColumn(name, number.cast("int")).drop(_GLOBAL, _START)
+
+
+_GLOBAL, _START = "_global", "_start"
+
+
+def _with_start(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Rows with their global position and that of their group's first row."""
+    frozen = _frozen_order(df, [*keys, *order])
+    group = F.struct(*keys)
+    local = Window.partitionBy(_PART).orderBy(_POSITION)
+    before = _before_part(frozen, F.count(F.lit(1)))
+    placed = frozen.join(F.broadcast(before), _PART).withColumn(
+        _GLOBAL, F.col("_before") + F.col(_POSITION)
+    )
+    # one row per range: its last group, and where that group begins in it
+    spans = placed.groupBy(_PART).agg(F.max_by(group, _POSITION).alias("_tail"))
+    first = (
+        placed.join(F.broadcast(spans), _PART)
+        .where(group.eqNullSafe(F.col("_tail")))
+        .groupBy(_PART)
+        .agg(F.min(_GLOBAL).alias("_at"))
+    )
+    tails = spans.join(first, _PART)
+    so_far = Window.partitionBy("_tail").orderBy(_PART)
+    carried = tails.withColumn("_at", F.min("_at").over(so_far)).select(
+        _PART,
+        *(
+            F.lag(c).over(Window.orderBy(_PART)).alias(f"{c}_before")
+            for c in ("_tail", "_at")
+        ),
+    )
+    opens = F.lag(group).over(local)
+    is_first = F.when(
+        ~F.coalesce(opens, F.col("_tail_before")).eqNullSafe(group), F.col(_GLOBAL)
+    )
     return (
-        numbered.join(first, list(keys))
-        .withColumn(name, (F.col("_global") - F.col("_first") + 1).cast("int"))
-        .drop("_global", "_first")
+        placed.join(F.broadcast(carried), _PART)
+        .withColumn("_new", is_first)
+        .withColumn(
+            _START, F.coalesce(F.last("_new", ignorenulls=True).over(local), F.col("_at_before"))
+        )
+        .drop(_PART, _POSITION, "_before", "_in_part", "_new", "_tail_before", "_at_before")
     )

@@ -11,9 +11,36 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from basketry.session import materialize
+
 FEATURES = ("times_bought", "order_share", "orders_since", "n_orders")
 
 
+def _purchases(
+    orders: DataFrame, items: DataFrame, user: str, order: str, number: str, product: str
+) -> DataFrame:
+    """One row per order line, with what the customer's last order tells.
+
+    ``_last`` is the customer's last order number and ``_last_known`` whether
+    that order has lines. Both are reduced to a row per customer and written
+    first, so that they meet the orders in a plain join whose hot customers
+    Spark splits; the lines then come in by order, not by customer.
+    """
+    filled = items.select(order).distinct().withColumn("_has_lines", F.lit(True))
+    flagged = materialize(orders.select(order, user, number).join(filled, order, "left"))
+    totals = materialize(
+        flagged.groupBy(user).agg(
+            F.max(number).alias("_last"),
+            F.max(F.when(F.col("_has_lines"), F.col(number))).alias("_filled"),
+        )
+    )
+    known = F.coalesce(F.col("_filled") == F.col("_last"), F.lit(False))
+    placed = flagged.where("_has_lines").join(
+        totals.select(user, "_last", known.alias("_last_known")), user
+    )
+    return items.select(order, product).join(placed, order)
+
+
 def reorder_features(
     orders: DataFrame,
     items: DataFrame,
@@ -24,22 +51,21 @@ def reorder_features(
 ) -> DataFrame:
     """One row per customer and product bought before the customer's last order.
 
-    ``label`` is 1 when the last order has the product again. Only purchases
-    before it feed the other columns. ``number`` counts a customer's orders
-    from 1.
+    ``label`` is 1 when the last order has the product again, NULL when that
+    order has no lines, so that nothing is known of it. Only purchases before
+    it feed the other columns. ``number`` counts a customer's orders from 1.
+    Runs jobs.
     """
-    totals = orders.groupBy(user).agg(F.max(number).alias("_last"))
-    placed = orders.select(order, user, number).join(totals, user)
     earlier = F.col(number) < F.col("_last")
     return (
-        items.select(order, product)
-        .join(placed, order)
+        _purchases(orders, items, user, order, number, product)
         .groupBy(user, product)
         .agg(
             F.count_distinct(F.when(earlier, F.col(number))).alias("times_bought"),
             F.max(F.when(earlier, F.col(number))).alias("_recent"),
-            F.max((~earlier).cast("int")).alias("label"),
+            F.max((~earlier).cast("int")).alias("_again"),
             F.max("_last").alias("_last"),
+            F.bool_or("_last_known").alias("_last_known"),
         )
         .where(F.col("times_bought") > 0)
         .select(
@@ -49,11 +75,54 @@ def reorder_features(
             (F.col("times_bought") / (F.col("_last") - 1)).alias("order_share"),
             (F.col("_last") - F.col("_recent")).alias("orders_since"),
             (F.col("_last") - 1).alias("n_orders"),
-            "label",
+            F.when(F.col("_last_known"), F.col("_again")).alias("label"),
         )
     )
 
 
+def next_order_features(
+    orders: DataFrame,
+    items: DataFrame,
+    user: str = "user_id",
+    order: str = "order_id",
+    number: str = "order_number",
+    product: str = "product_id",
+) -> DataFrame:
+    """The same columns for the order that comes next, without a label.
+
+    All orders of a customer count. A last order without lines is itself the
+    next one, as what is in it is still to be told. Runs jobs.
+    """
+    done = F.max(F.when(F.col("_last_known"), F.col("_last")).otherwise(F.col("_last") - 1))
+    return (
+        _purchases(orders, items, user, order, number, product)
+        .groupBy(user, product)
+        .agg(
+            F.count_distinct(number).alias("times_bought"),
+            F.max(number).alias("_recent"),
+            done.alias("n_orders"),
+        )
+        .select(
+            user,
+            product,
+            "times_bought",
+            (F.col("times_bought") / F.col("n_orders")).alias("order_share"),
+            (F.col("n_orders") + 1 - F.col("_recent")).alias("orders_since"),
+            "n_orders",
+        )
+    )
+
+
+def split_customers(
+    table: DataFrame, user: str = "user_id", held_out: float = 0.2
+) -> tuple[DataFrame, DataFrame]:
+    """Rows with a label of most customers to fit on, and of the others to test on."""
+    known = table.where("label IS NOT NULL")
+    bucket = F.pmod(F.xxhash64(user), F.lit(1000))
+    edge = round(held_out * 1000)
+    return known.where(bucket >= edge), known.where(bucket < edge)
+
+
 def with_class_weight(table: DataFrame, label: str = "label") -> DataFrame:
     """Weights that give both classes the same total."""
     rate = table.agg(F.avg(F.col(label).cast("double"))).scalar()
@@ -70,14 +139,17 @@ def fit_reorder_model(
 ) -> PipelineModel:
     """Class-weighted logistic regression on the reorder features.
 
-    Every iteration reads ``table``, so pass a stored or materialised one.
+    Rows without a label, of customers whose last order is unknown, are left
+    out; if a class is missing its weight is. Every iteration reads ``table``, so pass a stored or materialised one.
     """
     stages = [
         VectorAssembler(inputCols=list(features), outputCol="_raw"),
         StandardScaler(inputCol="_raw", outputCol="features"),
         LogisticRegression(weightCol="weight", maxIter=50, regParam=0.001),
     ]
-    return Pipeline(stages=stages).fit(with_class_weight(table))
+    return Pipeline(stages=stages).fit(
+        with_class_weight(table.where("label IS NOT NULL"))
+    )
 
 
 def score_reorders(model: PipelineModel, table: DataFrame) -> DataFrame:

@@ -29,16 +29,17 @@ def build_orders(spark: SparkSession, path: str) -> DataFrame:
 
 
 def build_products(
-    spark: SparkSession, products: str, aisles: str, departments: str
+    spark: SparkSession, products: str, aisles: str, departments: str, multiline: bool = True
 ) -> DataFrame:
     """Products with aisle and department names; unknown ids are dropped.
 
-    The two name tables are small files, so Spark broadcasts them by their
+    ``multiline`` admits names with line breaks in quotes, at the price of one
+    split for each file; turn it off only for files without such names. The two name tables are small files, so Spark broadcasts them by their
     size; should they grow past its threshold it shuffles instead.
     """
 
     def table(path, schema):
-        return typed(read_delimited(spark, path, multiline=True), schema)
+        return typed(read_delimited(spark, path, multiline=multiline), schema)
 
     return (
         table(products, S.PRODUCTS_SCHEMA)
@@ -84,21 +85,31 @@ def build_daily_sales(spark: SparkSession, sales: str, calendar: str) -> DataFra
 
 
 def build_catalogue(
-    spark: SparkSession, path: str, country: str = "australia", spread: int | None = None
+    spark: SparkSession,
+    path: str,
+    country: str = "australia",
+    multiline: bool = True,
+    spread: int | None = None,
 ) -> DataFrame:
     """Named and categorised products sold in ``country`` or with none listed.
 
     Lines with too many fields are kept without the surplus, short ones are
-    padded, and a number that cannot be read is missing. A compressed file is
-    read by one task; ``spread`` shares the rows that are left over more tasks.
+    padded, and a number that cannot be read is missing. A file that is
+    compressed or ``multiline`` is one split: its task only cuts it into
+    fields, and its rows are then dealt to ``spread`` tasks, by default as many
+    as shuffles have, before anything is cast, filtered or written.
     """
-    rows = read_delimited(spark, path, sep="\t", multiline=True, strict=False)
-    kept = typed(rows, S.CATALOGUE_SCHEMA, strict=False).where(
+    rows = read_delimited(spark, path, sep="\t", multiline=multiline, strict=False)
+    names = [F.col(f"`{c}`") for c in rows.columns if c in S.CATALOGUE_SCHEMA.names]
+    one_split = multiline or path.endswith((".gz", ".zst", ".snappy", ".lz4"))
+    if one_split:
+        width = spread or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        rows = rows.select(*names).repartition(width)
+    return typed(rows, S.CATALOGUE_SCHEMA, strict=False).where(
         F.col("product_name").isNotNull()
         & F.col("categories_en").isNotNull()
         & mentions_or_missing(F.col("countries_en"), country)
     )
-    return kept.repartition(spread) if spread else kept
 
 
 def build_sell_prices(spark: SparkSession, prices: str, calendar: str) -> DataFrame:

@@ -11,7 +11,7 @@ ORDER_ITEMS = "order_items"
 DAILY_SALES = "m5_sales"
 CATALOGUE = "off_products"
 SELL_PRICES = "sell_prices"
-TABLES = (ORDERS, PRODUCTS, ORDER_ITEMS, DAILY_SALES, CATALOGUE)
+TABLES = (ORDERS, PRODUCTS, ORDER_ITEMS, DAILY_SALES, CATALOGUE, SELL_PRICES)
 
 # --- fixed values: raw files, relative to the raw-data root ------------------
 RAW_ORDERS = "instacart/orders.csv"
@@ -51,6 +51,7 @@ GBT_DEFAULTS = {
 }
 
 
+# --- fixed values: columns and types of the raw files -------------------------
 def _schema(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from basketry.functions.text import present
 
-_SURPLUS = "_surplus_field"
+_RECORD = "_unfit_record"
+#: Columns that a file may have unless the caller says otherwise.
+MAX_COLUMNS = 65536
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -27,15 +31,17 @@ def read_delimited(
     sep: str = ",",
     multiline: bool = False,
     strict: bool = True,
+    max_columns: int = MAX_COLUMNS,
 ) -> DataFrame:
     """All columns of a headed file, as text, named by its header line.
 
-    A short line is padded with NULLs. A line with too many fields raises when
-    ``strict``; otherwise the surplus is ignored and the line is kept. Either
-    way the outcome does not depend on which columns a query selects: strict
-    mode declares one more column than the header has and checks that it stays
-    empty, rather than relying on the parser's own notion of a bad row, which
-    changes under column pruning.
+    A short line is padded with NULLs. A line whose fields beyond the header's
+    hold anything raises when ``strict``; otherwise the surplus is ignored and
+    the line is kept. Either way the outcome does not depend on which columns a
+    query selects: strict mode parses all columns of a line, keeps the text of
+    lines that do not fit, and looks at every surplus field of those.
+
+    A header of more than ``max_columns`` names raises.
 
     ``multiline`` admits line breaks inside quotes and makes each file one
     split, so it is off unless the file has free text.
@@ -48,18 +54,32 @@ def read_delimited(
         "multiLine": multiline,
         "mode": "PERMISSIVE",
         "maxCharsPerColumn": -1,
-        "maxColumns": 65536,
+        "maxColumns": max_columns,
     }
     names = spark.read.options(**options).csv(path).columns
-    declared = [*names, _SURPLUS] if strict else names
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in declared])
-    rows = spark.read.schema(schema).options(**options).csv(path)
+    fields = [T.StructField(n, T.StringType()) for n in names]
     if not strict:
-        return rows
-    intact = F.assert_true(
-        F.col(_SURPLUS).isNull(), F.lit(f"a line of {path} has too many fields")
+        return spark.read.schema(T.StructType(fields)).options(**options).csv(path)
+    declared = T.StructType([*fields, T.StructField(_RECORD, T.StringType())])
+    rows = (
+        spark.read.schema(declared)
+        .options(**options, columnPruning=False, columnNameOfCorruptRecord=_RECORD)
+        .csv(path)
+    )
+    message = F.concat(
+        F.lit(f"a line of {path} has too many fields; it begins with "),
+        F.coalesce(F.col(f"`{names[0]}`"), F.lit("nothing")),
     )
-    return rows.where(intact.isNull()).drop(_SURPLUS)
+    intact = F.assert_true(~_has_surplus(F.col(_RECORD), sep, len(names)), message)
+    return rows.where(intact.isNull()).drop(_RECORD)
+
+
+def _has_surplus(record: Column, sep: str, width: int) -> Column:
+    """Whether a field after the first ``width`` is not empty."""
+    unquoted = F.regexp_replace(record, '"(?:[^"]|"")*"', "q")
+    parts = F.split(unquoted, re.escape(sep))
+    surplus = F.slice(parts, width + 1, F.greatest(F.size(parts) - width, F.lit(0)))
+    return F.coalesce(F.exists(surplus, lambda x: F.trim(x) != ""), F.lit(False))
 
 
 def _cast(text: Column, kind: T.DataType, strict: bool) -> Column:

@@ -16,13 +16,16 @@ from basketry.sources.sink import write_table
 
 logger = logging.getLogger("models")
 
+#: Departments whose prices may drive all others; the result has their square.
+MOST_DRIVERS = 500
+
 
 def demand(tables: Catalog, out: str) -> None:
     keys = ["item_id", "store_id"]
     sales = tables.load_m5_sales()
     last = series.last_day(sales)
     daily = series.daily_totals(sales, keys)
-    frame = materialize(forecast.training_frame(daily, keys))
+    frame = materialize(forecast.training_frame(daily, keys, last))
     train, test = series.time_split(frame, last)
     model = forecast.fit_forecaster(train)
     model.write().overwrite().save(f"{out}/demand_model")
@@ -35,19 +38,25 @@ def segment(tables: Catalog, out: str) -> None:
     table = materialize(
         segments.rfm_undated(tables.load_orders(), tables.load_order_items())
     )
-    model = segments.fit_segments(table)
+    model, found = segments.choose_segments(table)
+    logger.info("mean silhouette by number of segments: %s", found)
     model.write().overwrite().save(f"{out}/segment_model")
     assigned = segments.assign_segments(model, table).drop("features")
     write_table(assigned, f"{out}/customer_segments")
 
 
 def reorders(tables: Catalog, out: str) -> None:
-    table = materialize(
-        reorder.reorder_features(tables.load_orders(), tables.load_order_items())
-    )
-    model = reorder.fit_reorder_model(table)
+    """Fit on known last orders, test on held-out customers, score the next order."""
+    orders, items = tables.load_orders(), tables.load_order_items()
+    table = materialize(reorder.reorder_features(orders, items))
+    fits, tests = reorder.split_customers(table)
+    model = reorder.fit_reorder_model(fits)
     model.write().overwrite().save(f"{out}/reorder_model")
-    write_table(reorder.score_reorders(model, table), f"{out}/reorder_scores")
+    if not tests.isEmpty():
+        area = reorder.area_under_roc(model.transform(tests))
+        logger.info("area under the curve, held-out customers: %.4f", area)
+    upcoming = reorder.next_order_features(orders, items)
+    write_table(reorder.score_reorders(model, upcoming), f"{out}/reorder_scores")
 
 
 def prices(tables: Catalog, out: str) -> None:
@@ -65,8 +74,12 @@ def prices(tables: Catalog, out: str) -> None:
     )
     item_weeks = elasticity.price_points(weekly, ["cat_id", "item_id", "week_start"])
     write_table(elasticity.own_elasticity(item_weeks, ["cat_id"]), f"{out}/own_elasticity")
-    dept_weeks = elasticity.price_points(weekly, ["dept_id", "week_start"])
-    crossed = elasticity.cross_elasticity(dept_weeks, "dept_id", "week_start")
+    dept_weeks = materialize(elasticity.price_points(weekly, ["dept_id", "week_start"]))
+    names = dept_weeks.select("dept_id").distinct().orderBy("dept_id").limit(MOST_DRIVERS + 1)
+    drivers = [row[0] for row in names.collect()]
+    if len(drivers) > MOST_DRIVERS:
+        raise ValueError(f"more than {MOST_DRIVERS} departments: name the drivers instead")
+    crossed = elasticity.cross_elasticity(dept_weeks, "dept_id", "week_start", drivers)
     write_table(crossed, f"{out}/cross_elasticity")
 
 

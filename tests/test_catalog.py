@@ -22,12 +22,12 @@ def tables(spark, tmp_path):
     _save(
         tmp_path,
         "orders",
-        order_id=[1, 2, 3, 4, 5],
-        user_id=[10, 10, 20, 30, 30],
-        order_dow=[0, 1, 2, 3, 4],
-        order_hour_of_day=[8, 9, 10, 11, 12],
-        days_since_prior_order=[None, 7, 14, 21, 7],
-        eval_set=["prior"] * 5,
+        order_id=[101, 102, 103, 104, 105],
+        user_id=[10, 30, 20, 10, 30],
+        order_dow=[6, 2, 2, 0, 5],
+        order_hour_of_day=[23, 7, 7, 15, 20],
+        days_since_prior_order=[None, 3, 30, 12, 5],
+        eval_set=["prior", "train", "prior", "prior", "train"],
     )
     sales = spark.createDataFrame(
         [
@@ -119,24 +119,45 @@ def test_nanosecond_dates_are_read_as_dates(spark, tmp_path):
 def test_query_sums_by_department(spark, tmp_path):
     path = _save(
         tmp_path,
-        "test_data",
-        department=["produce", "produce", "dairy", "bakery", "bakery", "bakery"],
-        n_sales=[100, 200, 150, 50, 60, 70],
+        "tills",
+        till=["north", "south", "north", "east"],
+        taken=[4, 9, 7, 1],
     )
     result = Catalog(spark, str(tmp_path)).query(
-        f"""
-        SELECT department, SUM(n_sales) AS total_sales
-        FROM '{path}'
-        GROUP BY department
-        ORDER BY total_sales DESC
-        """
+        f"SELECT till, count(*) AS n, max(taken) AS most FROM '{path}' GROUP BY till ORDER BY most DESC"
     )
     assert [tuple(r) for r in result.collect()] == [
-        ("produce", 300),
-        ("bakery", 180),
-        ("dairy", 150),
+        ("south", 1, 9), ("north", 2, 7), ("east", 1, 1),
     ]
-    assert result.first().department == "produce"
+
+
+def test_query_lists_of_paths_and_literals_with_paths(spark, tmp_path):
+    a, b = _save(tmp_path, "a", x=[1, 2]), _save(tmp_path, "b", y=[2, 3])
+    found = Catalog(spark, str(tmp_path)).query(
+        f"""
+        SELECT x, "loaded from 'b.parquet'" AS note, 'b.parquet' AS file -- FROM 'c.parquet'
+        FROM '{a}', '{b}' WHERE x = y AND 'd.parquet' IN ('d.parquet', 'e.parquet')
+        """
+    )
+    assert [tuple(r) for r in found.collect()] == [(2, "loaded from 'b.parquet'", "b.parquet")]
+    nested = f"SELECT * FROM (SELECT max(y) AS y FROM '{b}') t JOIN '{a}' ON x < y ORDER BY x"
+    assert [tuple(r) for r in Catalog(spark, str(tmp_path)).query(nested).collect()] == [(3, 1), (3, 2)]
+
+
+def test_query_keeps_views_of_the_session(spark, tables):
+    spark.range(7).createOrReplaceTempView("orders")
+    try:
+        assert tables.query("SELECT count(*) AS n FROM orders").first().n == 7
+        assert spark.table("orders").count() == 7
+    finally:
+        spark.catalog.dropTempView("orders")
+    assert tables.query("SELECT count(*) AS n FROM orders").first().n == 5
+    assert not spark.catalog.tableExists("orders")
+
+
+def test_query_knows_sell_prices(spark, tables, tmp_path):
+    _save(tmp_path, "sell_prices", item_id=["A", "B"], sell_price=[1.5, 2.5])
+    assert tables.query("SELECT sum(sell_price) AS s FROM sell_prices").first().s == 4.0
 
 
 def test_query_by_table_name_with_parameters(tables):

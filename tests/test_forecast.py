@@ -54,29 +54,44 @@ def test_seasonal_naive_repeats_the_last_days(daily):
     rows = forecast.seasonal_naive(daily, KEYS, series.last_day(daily)).collect()
     sold = {(r.item, r.date): r.sales for r in daily.collect()}
     back = dt.timedelta(days=28)
+    days = [START + dt.timedelta(days=300 + n) for n in range(28)]
     assert {(r.item, r.date): r.forecast for r in rows} == {
-        (i, d + back): s
-        for (i, d), s in sold.items()
-        if d > START + dt.timedelta(days=299) - back
+        (i, d): sold.get((i, d - back), 0.0) for i in ("a", "b", "young") for d in days
     }
+    assert len(rows) == 3 * 28
+
+
+def test_training_rows_go_on_to_the_last_day(spark):
+    """A series that ended early has its empty days up to the table's last day."""
+    rows = [("ends", START + dt.timedelta(days=n), 2.0) for n in range(100)]
+    rows.append(("goes on", START + dt.timedelta(days=299), 1.0))
+    daily = spark.createDataFrame(rows, "item string, date date, sales double")
+    frame = forecast.training_frame(daily, KEYS, series.last_day(daily)).where("item = 'ends'")
+    assert frame.count() == 300 - 55
+    assert frame.where("sales = 0").count() == 200
 
 
 def test_model_beats_the_baseline(daily):
     last = series.last_day(daily)
-    train, test = series.time_split(forecast.training_frame(daily, KEYS), last)
+    train, test = series.time_split(forecast.training_frame(daily, KEYS, last), last)
     model = forecast.fit_forecaster(train, maxIter=15, maxDepth=4, stepSize=0.2)
     ours, baseline = forecast.forecast_error(model, test)
     assert ours < baseline
     future = forecast.future_frame(daily, KEYS, last)
     rows = forecast.forecast(model, future, KEYS).collect()
-    assert len(rows) == 2 * 28  # the young series has no look-back yet
+    assert len(rows) == 3 * 28
+    young = {r.forecast for r in rows if r.item == "young"}
+    assert young == {3.0}  # one day old: the mean of its days so far
     assert all(r.forecast >= 0 for r in rows)
 
 
 def test_stockout_risk_lists_short_products(spark):
     ahead = spark.createDataFrame(
-        [("a", 5.0), ("a", 7.0), ("b", 1.0), ("c", 9.0)], "item string, forecast double"
+        [("a", 5.0), ("a", 7.0), ("b", 1.0), ("c", 9.0), ("no stock row", 8.0)],
+        "item string, forecast double",
     )
     stock = spark.createDataFrame([("a", 10), ("b", 4), ("c", 2)], "item string, on_hand int")
     rows = forecast.stockout_risk(ahead, stock, KEYS).collect()
-    assert [tuple(r) for r in rows] == [("c", 9.0, 2, 7.0), ("a", 12.0, 10, 2.0)]
+    assert [tuple(r) for r in rows] == [
+        ("no stock row", 8.0, 0, 8.0), ("c", 9.0, 2, 7.0), ("a", 12.0, 10, 2.0),
+    ]

@@ -58,6 +58,17 @@ def test_orders_long_line_raises_even_when_pruned(spark, tmp_path):
         ingest.build_orders(spark, path).count()
 
 
+def test_every_surplus_field_counts(spark, tmp_path):
+    beyond = _file(tmp_path, "a.csv", ORDERS + "5,1,prior,1,1,1,1,,lost\n")
+    with pytest.raises(PySparkException, match="too many fields"):
+        ingest.build_orders(spark, beyond).select("order_id").collect()
+    quoted = _file(tmp_path, "b.csv", ORDERS + '5,1,prior,1,1,1,1,,"x,y"\n')
+    with pytest.raises(PySparkException, match="too many fields"):
+        ingest.build_orders(spark, quoted).count()
+    empty = _file(tmp_path, "c.csv", ORDERS + "5,1,prior,1,1,1,1,,\n")
+    assert ingest.build_orders(spark, empty).where("order_id = 5").count() == 1
+
+
 def test_orders_overflow_raises(spark, tmp_path):
     path = _file(tmp_path, "orders.csv", ORDERS.replace("1,10,prior,1,0,8", "1,10,prior,1,300,8"))
     with pytest.raises(PySparkException):

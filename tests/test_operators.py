@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from basketry import schemas as S
@@ -378,7 +379,7 @@ def test_rfm_undated(spark):
     )
     items = _frame(spark, [(1, 5), (2, 5), (2, 6)], "order_id long, product_id long")
     rows = {r.user_id: tuple(r)[1:] for r in segments.rfm_undated(orders, items).collect()}
-    assert rows == {10: (7.0, 2, 3), 20: (None, 1, 0)}
+    assert rows == {10: (7.0, 2, 3), 20: (7.0, 1, 0)}  # one order: the longest gap
 
 
 def test_scores_are_equal_sized_with_a_hot_value(spark):
@@ -436,7 +437,7 @@ def test_cross_elasticity_equals_pairwise_fits(spark, batch):
     df = _frame(spark, rows, "category string, period int, ln_quantity double, ln_price double")
     got = {
         (r.category, r.driver): (r.elasticity, r.n_points)
-        for r in elasticity.cross_elasticity(df, batch=batch).collect()
+        for r in elasticity.cross_elasticity(df, drivers=list("abcd"), batch=batch).collect()
     }
     table = pd.DataFrame(rows, columns=["c", "w", "q", "p"])
     both = table.merge(table, on="w", suffixes=("", "_d"))
@@ -548,3 +549,57 @@ def test_class_weights_balance(spark):
     df = _frame(spark, [(1,)] + [(0,)] * 9, "label int")
     totals = dict(reorder.with_class_weight(df).groupBy("label").agg(F.sum("weight")).collect())
     assert totals == {0: pytest.approx(5), 1: pytest.approx(5)}
+
+
+def test_numbers_in_a_hot_group_without_a_join_on_it(spark):
+    """One user holds two thirds of the rows and spans many ranges."""
+    rows = spark.range(30_000).selectExpr(
+        "CASE WHEN id % 3 < 2 THEN 7 ELSE id END AS user_id", "id AS order_id"
+    )
+    with_numbers = ranking.with_number_in_group(rows, ["user_id"], ["order_id"], "number")
+    got = {r.order_id: r.number for r in with_numbers.collect()}
+    hot = [o for o in range(30_000) if o % 3 < 2]
+    assert all(got[o] == n for n, o in enumerate(hot, 1))
+    assert all(got[o] == 1 for o in range(2, 30_000, 3))
+    plan = with_numbers._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(user_id" not in plan
+
+
+def test_similarity_rejects_what_it_cannot_compare(spark):
+    rows = [(1, [1.0, 0.0]), (2, [float("nan"), 1.0]), (3, [0.0, 0.0]), (4, [1.0, 1.0]), (5, None)]
+    vectors = _frame(spark, rows, "product_id int, embedding array<double>")
+    assert [r.product_id for r in similar.similar_to(vectors, 1, 10).collect()] == [4]
+    for product in (3, 5, 99):
+        with pytest.raises(PySparkException, match="no vector"):
+            similar.similar_to(vectors, product, 10).collect()
+    longer = vectors.union(_frame(spark, [(6, [1.0])], "product_id int, embedding array<double>"))
+    with pytest.raises(PySparkException, match="different numbers"):
+        similar.similar_to(longer, 1, 10).collect()
+
+
+def test_sample_takes_large_and_text_keys(spark):
+    large = spark.range(3).selectExpr("9300000000000000 + id AS k", "1 AS v")
+    assert profile.sample_by_key(large, ["k", "v"], "k", 2).count() == 2
+    texts = _frame(spark, [("x0012", 1), ("y", 2)], "k string, v int")
+    assert profile.sample_by_key(texts, ["k", "v"], "k", 5).count() == 2
+
+
+def test_no_drivers_no_slopes(spark):
+    points = _frame(
+        spark, [("a", 1, 0.5, 0.5)], "category string, period int, ln_quantity double, ln_price double"
+    )
+    assert elasticity.cross_elasticity(points).collect() == []
+
+
+def test_reorder_labels_need_a_known_last_order(spark):
+    orders = _frame(
+        spark,
+        [(1, 10, 1), (2, 10, 2), (3, 20, 1), (4, 20, 2)],
+        "order_id int, user_id int, order_number int",
+    )
+    items = _frame(spark, [(1, 5), (2, 5), (3, 5)], "order_id int, product_id int")
+    rows = {r.user_id: r for r in reorder.reorder_features(orders, items).collect()}
+    assert (rows[10].label, rows[20].label) == (1, None)
+    ahead = {r.user_id: r for r in reorder.next_order_features(orders, items).collect()}
+    assert (ahead[10].times_bought, ahead[10].n_orders, ahead[10].orders_since) == (2, 2, 1)
+    assert (ahead[20].times_bought, ahead[20].n_orders, ahead[20].orders_since) == (1, 1, 1)
