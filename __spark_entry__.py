@@ -18,7 +18,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from basketry.functions import (
     long_enough,
@@ -1292,6 +1292,196 @@ def load_catalogue(spark, sf_dir):
     return products.select("code", F.length("product_name").alias("name_length"))
 
 
+# --- the loaders, the whole job and SQL ---------------------------------------------------
+def _stored_tables(spark, sf_dir):
+    """Orders, lines and products of the given tables as stored tables."""
+    stored = Catalog(spark, _raw_folder(spark))
+    lines = _table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id")
+    )
+    write_table(_orders(spark, sf_dir), stored.path(S.ORDERS))
+    write_table(lines, stored.path(S.ORDER_ITEMS))
+    write_table(_products(spark, sf_dir), stored.path(S.PRODUCTS))
+    return stored
+
+
+@_register("""
+    SELECT o_orderkey AS order_id, o_custkey AS user_id, o_orderdate::DATE AS order_date
+    FROM orders
+""")
+def load_orders(spark, sf_dir):
+    stored = _stored_tables(spark, sf_dir)
+    return stored.load_orders().select("order_id", "user_id", "order_date")
+
+
+@_register("""
+    SELECT p_partkey AS product_id, p_name AS product_name, p_brand AS aisle,
+           p_type AS department FROM part
+""")
+def load_products(spark, sf_dir):
+    return _stored_tables(spark, sf_dir).load_products()
+
+
+@_register("SELECT l_orderkey AS order_id, l_partkey AS product_id FROM lineitem")
+def load_order_items(spark, sf_dir):
+    return _stored_tables(spark, sf_dir).load_order_items()
+
+
+@_register("""
+    SELECT p_type AS department, count(*) AS n_lines, 'orders' AS "label"
+    FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1
+""")
+def sql_by_name(spark, sf_dir):
+    """Stored tables by name in SQL; a literal that is a table's name stays one."""
+    return _stored_tables(spark, sf_dir).query(
+        "SELECT department, count(*) AS n_lines, 'orders' AS label "
+        "FROM order_items JOIN products USING (product_id) GROUP BY department"
+    )
+
+
+@_register("""
+    SELECT p_type AS department, count(*) AS n_lines, 'part.parquet' AS note
+    FROM lineitem, part WHERE l_partkey = p_partkey GROUP BY 1
+""")
+def sql_path_list(spark, sf_dir):
+    """A comma list of quoted paths, and a literal that looks like one."""
+    folder = sf_dir.rstrip("/")
+    return Catalog(spark, folder).query(
+        f"""
+        SELECT p_type AS department, count(*) AS n_lines,
+               'part.parquet' AS note
+        FROM '{folder}/lineitem.parquet', '{folder}/part.parquet'
+        WHERE l_partkey = p_partkey GROUP BY p_type
+        """
+    )
+
+
+_WEEKLY_PRICES_SQL = """
+    SELECT l_linestatus AS store_id, l_partkey::VARCHAR AS item_id,
+           date_diff('day', DATE '1990-01-06', l_shipdate::DATE) // 7 AS wm_yr_wk,
+           round(max(l_extendedprice / l_quantity), 2) AS sell_price
+    FROM lineitem GROUP BY 1, 2, 3
+"""
+
+
+def _write_prices(spark, sf_dir):
+    """Weekly shelf prices and their calendar as raw files; returns their paths."""
+    folder = _raw_folder(spark)
+    days = F.datediff(F.to_date("l_shipdate"), F.lit("1990-01-06").cast("date"))
+    lines = _table(spark, sf_dir, "lineitem").withColumn("wm_yr_wk", F.floor(days / 7))
+    prices = lines.groupBy(
+        F.col("l_linestatus").alias("store_id"),
+        F.col("l_partkey").cast("string").alias("item_id"),
+        "wm_yr_wk",
+    ).agg(F.round(F.max(F.col("l_extendedprice") / F.col("l_quantity")), 2).alias("sell_price"))
+    calendar = lines.select(F.to_date("l_shipdate").alias("date"), "wm_yr_wk").distinct()
+    return (
+        _write_text(prices, f"{folder}/prices.csv"),
+        _write_text(calendar, f"{folder}/calendar.csv"),
+    )
+
+
+@_register(f"""
+    WITH prices AS ({_WEEKLY_PRICES_SQL}),
+         weeks AS (SELECT date_diff('day', DATE '1990-01-06', l_shipdate::DATE) // 7 AS wm_yr_wk,
+                          min(l_shipdate::DATE) AS week_start FROM lineitem GROUP BY 1)
+    SELECT store_id, item_id, wm_yr_wk::INT AS wm_yr_wk, sell_price, week_start
+    FROM prices JOIN weeks USING (wm_yr_wk)
+""")
+def ingest_sell_prices(spark, sf_dir):
+    built = ingest.build_sell_prices(spark, *_write_prices(spark, sf_dir))
+    return built.select(
+        "store_id", "item_id", "wm_yr_wk",
+        F.round(F.col("sell_price").cast("double"), 2).alias("sell_price"), "week_start",
+    )
+
+
+@_register(f"""
+    SELECT store_id, count(*) AS n, round(max(sell_price), 2) AS highest
+    FROM ({_WEEKLY_PRICES_SQL}) GROUP BY 1
+""")
+def sql_sell_prices(spark, sf_dir):
+    stored = Catalog(spark, _raw_folder(spark))
+    built = ingest.build_sell_prices(spark, *_write_prices(spark, sf_dir))
+    write_table(built, stored.path(S.SELL_PRICES))
+    return stored.query(
+        "SELECT store_id, count(*) AS n, round(max(CAST(sell_price AS DOUBLE)), 2) AS highest "
+        "FROM sell_prices GROUP BY store_id"
+    )
+
+
+@_register("""
+    WITH gaps AS (
+             SELECT o_custkey AS user_id, o_orderkey,
+                    (o_orderdate::DATE - lag(o_orderdate::DATE) OVER w)::DOUBLE AS gap,
+                    row_number() OVER w AS num
+             FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)),
+         sizes AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1)
+    SELECT user_id, coalesce(arg_max(gap, num) FILTER (gap IS NOT NULL),
+                             (SELECT max(gap) FROM gaps)) AS recency_days,
+           count(*) AS frequency, coalesce(sum(n), 0)::BIGINT AS monetary
+    FROM gaps LEFT JOIN sizes ON l_orderkey = o_orderkey GROUP BY 1
+""")
+def rfm_undated(spark, sf_dir):
+    """Recency, frequency and value of orders that carry a number and a gap, no date."""
+    orders = _orders(spark, sf_dir).select("order_id", "user_id", "order_date")
+    numbered = ranking.with_number_in_group(
+        orders, ["user_id"], ["order_date", "order_id"], "order_number"
+    )
+    seen = ranking.with_previous(
+        numbered, ["user_id"], ["order_date", "order_id"], "order_date", "_before_date"
+    )
+    gap = F.datediff("order_date", "_before_date").cast("double")
+    undated = seen.select("order_id", "user_id", "order_number", gap.alias("days_since_prior_order"))
+    return segments.rfm_undated(undated, _items(spark, sf_dir))
+
+
+@_register("""
+    WITH t AS (SELECT embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id = 1)
+    SELECT vec_id AS product_id, label AS category,
+           round(list_cosine_similarity(embedding::DOUBLE[], e), 5) AS similarity
+    FROM embeddings, t WHERE label <> 0
+    ORDER BY list_cosine_similarity(embedding::DOUBLE[], e) DESC, vec_id LIMIT 10
+""")
+def similar_filtered(spark, sf_dir):
+    """The rows closest to a vector among those of some categories."""
+    vectors = _vectors(spark, sf_dir)
+    target = [float(x) for x in vectors.where("product_id = 1").first().embedding]
+    found = similar.similar_to_vector(vectors, target, 10, where=F.col("category") != 0)
+    return _rounded(found, similarity=5)
+
+
+@_register("""
+    SELECT 'orders' AS table_name, count(*) AS n_rows FROM orders
+    UNION ALL SELECT 'order_items', count(*) FROM lineitem
+    UNION ALL SELECT 'products', count(*) FROM part
+""")
+def job_row_counts(spark, sf_dir):
+    """The job that builds the order tables from raw files, and its row counts."""
+    root = _raw_folder(spark)
+    raw, sources = f"{root}/raw", dict.fromkeys(S.RAW_ORDER_ITEMS)
+    orders = _orders(spark, sf_dir).select(
+        "order_id", "user_id", F.lit("prior").alias("eval_set"),
+        F.lit(1).alias("order_number"), F.lit(0).alias("order_dow"),
+        F.lit(8).alias("order_hour_of_day"), F.lit(7.0).alias("days_since_prior_order"),
+    )
+    _write_text(orders, f"{raw}/{S.RAW_ORDERS}")
+    parts = _products(spark, sf_dir)
+    names = {
+        c: parts.select(c).distinct().withColumn(f"{c}_id", F.dense_rank().over(Window.orderBy(c)))
+        for c in ("aisle", "department")  # a few names each
+    }
+    keyed = parts.join(names["aisle"], "aisle").join(names["department"], "department")
+    _write_text(keyed.select("product_id", "product_name", "aisle_id", "department_id"), f"{raw}/{S.RAW_PRODUCTS}")
+    _write_text(names["aisle"].select("aisle_id", "aisle"), f"{raw}/{S.RAW_AISLES}")
+    _write_text(names["department"].select("department_id", "department"), f"{raw}/{S.RAW_DEPARTMENTS}")
+    items = _items(spark, sf_dir).select("order_id", "product_id", "add_to_cart_order", "reordered")
+    for number, name in enumerate(sources):
+        _write_text(items.where(F.col("order_id") % 2 == number), f"{raw}/{name}")
+    counts = ingest.run(spark, raw, f"{root}/out", "instacart")
+    return spark.createDataFrame(list(counts.items()), "table_name string, n_rows long")
+
+
 # --- driver entry points ----------------------------------------------------------------
 def _with_shared_dir(query: Query) -> Query:
     """Names a folder for intermediate tables where the session has none.
