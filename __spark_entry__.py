@@ -1359,7 +1359,7 @@ def sql_path_list(spark, sf_dir):
 _WEEKLY_PRICES_SQL = """
     SELECT l_linestatus AS store_id, l_partkey::VARCHAR AS item_id,
            date_diff('day', DATE '1990-01-06', l_shipdate::DATE) // 7 AS wm_yr_wk,
-           round(max(l_extendedprice / l_quantity), 2) AS sell_price
+           round(max(l_extendedprice), 2) AS sell_price
     FROM lineitem GROUP BY 1, 2, 3
 """
 
@@ -1373,7 +1373,7 @@ def _write_prices(spark, sf_dir):
         F.col("l_linestatus").alias("store_id"),
         F.col("l_partkey").cast("string").alias("item_id"),
         "wm_yr_wk",
-    ).agg(F.round(F.max(F.col("l_extendedprice") / F.col("l_quantity")), 2).alias("sell_price"))
+    ).agg(F.round(F.max("l_extendedprice"), 2).alias("sell_price"))
     calendar = lines.select(F.to_date("l_shipdate").alias("date"), "wm_yr_wk").distinct()
     return (
         _write_text(prices, f"{folder}/prices.csv"),
