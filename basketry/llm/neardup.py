@@ -1,22 +1,25 @@
 """Near-duplicate documents by MinHash bands, odd sketches and an exact check.
 
-1. Each text becomes its set of word shingles, as 64-bit hashes, and 128 MinHash
+1. Each text becomes its set of word shingles, as 64-bit hashes, and 256 MinHash
    samples of it. The samples are folded into an odd sketch: a bitmap in which
    each sample flips one bit, so that the population count of two sketches' XOR
    estimates how many samples differ.
 2. Documents with equal sets become one class. From here on, rows are classes.
 3. Classes that agree in all four samples of one of 32 bands share a bucket.
    A pair at similarity 0.8 shares none with probability 5e-8.
-4. Within a bucket, members are compared with the bucket's smallest member;
-   pairs whose sketches are close are confirmed on the full sets. Confirmed
-   links give components. Only connection matters, so pairs within one
-   component are never formed: a group of copies costs a comparison a member.
-5. A bucket whose members are in several components still may hide links. A
-   small one is compared in full, across components. A large one, such as one
+4. A bucket's members are compared with its most central one, which shares most
+   buckets with others; pairs whose sketches are close are confirmed on the
+   full sets. Confirmed links give components. Only connection matters, so a
+   pair within one component is never formed, and the central member, now
+   compared with all, leaves the bucket. Some rounds of this join most of a
+   family of copies: a comparison a member and round.
+5. Buckets still in several components may hide links of the few members
+   outside their largest component. These are compared with all others, in
+   any bucket where they are few. A bucket where they are many, such as one
    made by a passage that many documents share, is cut by each further band
    and goes to step 4 again; a linked pair shares 13 of 32 bands on average.
-   Buckets that are still large after some rounds are compared one member
-   against all others, round by round, until one component is left.
+   What is still crowded after some cuts goes on by step 4 until one component
+   is left.
 """
 
 from __future__ import annotations
@@ -34,14 +37,16 @@ from basketry.llm.graph import components
 from basketry.session import materialize
 
 BANDS, ROWS = 32, 4
-SAMPLES = BANDS * ROWS
-SKETCH_BITS = 256
+SAMPLES = 256  # the first 128 make the bands
+SKETCH_BITS, WORDS = 512, 8
 #: XOR population count up to which a pair is checked on its full sets. At a
-#: similarity of 0.8 about 42 of 256 bits differ; 80 is more than 5 deviations off.
-MOST_BITS = 80
-#: Classes in a bucket that are compared in full across its components.
-SMALL_BUCKET = 128
-#: How many further bands may cut a large bucket.
+#: similarity of 0.8 about 84 of 512 bits differ, give or take 11; this is over
+#: 4 deviations off, and stands for a similarity of 0.65.
+MOST_BITS = 130
+#: Rounds of comparing with central members, and how many members outside the
+#: largest component are few.
+ROUNDS, FEW = 4, 64
+#: How many further bands may cut a crowded bucket.
 CUTS = 5
 
 _FOLD = bytes.maketrans(
@@ -118,16 +123,16 @@ def samples(hashes: np.ndarray) -> np.ndarray:
 
 
 def odd_sketch(least: np.ndarray) -> np.ndarray:
-    """The samples' parity bitmap as four signed 64-bit integers."""
+    """The samples' parity bitmap as signed 64-bit integers."""
     number = np.arange(SAMPLES, dtype=_U) << _U(32)
     bit = _mix(number + least.astype(_U) + _U(SEED)) % _U(SKETCH_BITS)
     parity = np.bincount(bit.astype(np.int64), minlength=SKETCH_BITS) & 1
-    return np.packbits(parity.astype(np.uint8)).view("<i8")
+    return np.packbits(parity.astype(np.uint8)).view("<i8")  # WORDS of them
 
 
 def bands(least: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each band's samples and its number."""
-    rows = least.reshape(BANDS, ROWS).astype(_U)
+    rows = least[: BANDS * ROWS].reshape(BANDS, ROWS).astype(_U)
     found = np.arange(BANDS, dtype=_U) + _U(SEED)
     for i in range(ROWS):
         found = _mix(found * _U(0xD6E8FEB86659FD93) + rows[:, i])
@@ -169,7 +174,7 @@ def _close(a: str, b: str, threshold: int) -> Column:
     """Whether two rows' sketches and set sizes allow a link."""
     bits = reduce(
         Column.__add__,
-        [F.bit_count(F.col(f"{a}s{i}").bitwiseXOR(F.col(f"{b}s{i}"))) for i in range(4)],
+        [F.bit_count(F.col(f"{a}s{i}").bitwiseXOR(F.col(f"{b}s{i}"))) for i in range(WORDS)],
     )
     n, m = F.col(f"{a}n"), F.col(f"{b}n")
     return (100 * F.least(n, m) >= threshold * F.greatest(n, m)) & (bits <= MOST_BITS)
@@ -231,7 +236,7 @@ class _Links:
             self._take(rest)
 
 
-_SKETCH = ["n", "s0", "s1", "s2", "s3"]
+_SKETCH = ["n", *(f"s{i}" for i in range(WORDS))]
 
 
 def _shared(members: DataFrame) -> DataFrame:
@@ -241,30 +246,68 @@ def _shared(members: DataFrame) -> DataFrame:
 
 
 def _mixed(members: DataFrame, links: _Links) -> DataFrame:
-    """The members, with components, of buckets with several components."""
+    """The members of buckets with several components.
+
+    Adds their component as ``part``, whether it is not the largest of the
+    bucket as ``minor``, and the number of such members as ``minors``.
+    """
     named = materialize(links.label(members, "node", "part"))
-    mixed = (
-        named.groupBy("bucket")
-        .agg(F.count("*").alias("size"), F.min("part").alias("p"), F.max("part").alias("q"))
-        .where("p != q")
-        .select("bucket", "size")
+    parts = named.groupBy("bucket", "part").agg(F.count("*").alias("count"))
+    largest = F.max(F.struct("count", "part"))
+    mixed = parts.groupBy("bucket").agg(
+        largest["part"].alias("main"),
+        (F.sum("count") - largest["count"]).alias("minors"),
+    )
+    found = named.join(materialize(mixed.where("minors > 0")), "bucket")
+    return materialize(found.withColumn("minor", F.col("part") != F.col("main")).drop("main"))
+
+
+def _round(left: DataFrame, links: _Links) -> DataFrame:
+    """Compare each bucket's most central member with its other components.
+
+    Returns the members without the one that has been compared.
+    """
+    hub = left.groupBy("bucket").agg(
+        F.max(F.struct("degree", "node", "part", *_SKETCH)).alias("r")
+    )
+    names = ("node", "part", *_SKETCH)
+    hub = materialize(hub.select("bucket", *(F.col(f"r.{c}").alias(f"r_{c}") for c in names)))
+    met = left.join(hub, "bucket").where(F.col("node") != F.col("r_node"))
+    near = met.where((F.col("part") != F.col("r_part")) & _close("", "r_", links.threshold))
+    links.add(
+        near.select(F.least("node", "r_node").alias("a"), F.greatest("node", "r_node").alias("b"))
     )
-    return materialize(named.join(materialize(mixed), "bucket"))
+    return met.select("bucket", "last", "node", "degree", *_SKETCH)
 
 
-def _star(members: DataFrame, threshold: int, rep: str = "node") -> DataFrame:
-    """Close pairs of each bucket's smallest member with its other members."""
-    least = members.groupBy("bucket").agg(
-        F.min(F.struct(F.col(rep).alias("rank"), "node", *_SKETCH)).alias("r")
+def _few(left: DataFrame, links: _Links) -> None:
+    """Compare the few members outside the largest component with all others."""
+    other = left.where("minor").select(
+        "bucket", *(F.col(c).alias(f"o_{c}") for c in ("node", "part", *_SKETCH))
     )
-    least = materialize(
-        least.select("bucket", *(F.col(f"r.{c}").alias(f"r_{c}") for c in ("node", *_SKETCH)))
+    near = left.join(other, "bucket").where(
+        (F.col("part") != F.col("o_part"))
+        & (~F.col("minor") | (F.col("node") < F.col("o_node")))
+        & _close("", "o_", links.threshold)
     )
-    near = members.join(least, "bucket").where(
-        (F.col("node") != F.col("r_node")) & _close("", "r_", threshold)
+    links.add(
+        near.select(F.least("node", "o_node").alias("a"), F.greatest("node", "o_node").alias("b"))
     )
-    return near.select(
-        F.least("node", "r_node").alias("a"), F.greatest("node", "r_node").alias("b")
+
+
+def _cut(left: DataFrame, classes: DataFrame) -> DataFrame:
+    """The members again, in buckets that share a further band as well."""
+    further = left.join(
+        classes.select("node", F.posexplode("bands").alias("next", "band")), "node"
+    ).where(F.col("next") > F.col("last"))
+    return _shared(
+        further.select(
+            F.xxhash64("bucket", "band").alias("bucket"),
+            F.col("next").alias("last"),
+            "node",
+            "degree",
+            *_SKETCH,
+        )
     )
 
 
@@ -294,56 +337,36 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = 80) -> Dat
         )
         .select(
             "set_key", "node", "n", "bands",
-            *(F.col("sketch")[i].alias(f"s{i}") for i in range(4)),
+            *(F.col("sketch")[i].alias(f"s{i}") for i in range(WORDS)),
         )
     )
     banded = classes.select(F.posexplode("bands").alias("last", "bucket"), "node")
     shared = materialize(_shared(banded))
-    members = materialize(shared.join(classes.select("node", *_SKETCH), "node"))
-    nodes = members.select("node").distinct()
+    sizes = materialize(shared.groupBy("bucket").agg(F.count("*").alias("size")))
+    degrees = shared.join(sizes, "bucket").groupBy("node").agg(F.sum("size").alias("degree"))
+    central = materialize(degrees.join(classes.select("node", *_SKETCH), "node"))
+    members = materialize(shared.join(central, "node"))
     texts = materialize(
         texts_of(docs)
         .withColumnRenamed("doc_id", "node")
-        .join(nodes, "node")
+        .join(central.select("node"), "node")
         .dropDuplicates(["node"])
     )
     links = _Links(texts, words, threshold)
+    left = _mixed(members, links)
     for cut in range(CUTS + 1):
-        if members.isEmpty():
-            break
-        links.add(_star(members, threshold))
-        left = _mixed(members, links)
-        small = left.where(f"size <= {SMALL_BUCKET}")
-        other = small.select(
-            "bucket", *(F.col(c).alias(f"o_{c}") for c in ("node", "part", *_SKETCH))
-        )
-        near = small.join(other, "bucket").where(
-            (F.col("node") < F.col("o_node"))
-            & (F.col("part") != F.col("o_part"))
-            & _close("", "o_", threshold)
-        )
-        links.add(near.select(F.col("node").alias("a"), F.col("o_node").alias("b")))
-        members = left.where(f"size > {SMALL_BUCKET}").drop("size", "part")
-        if cut < CUTS and not members.isEmpty():
-            further = members.join(
-                classes.select("node", F.posexplode("bands").alias("next", "band")), "node"
-            ).where(F.col("next") > F.col("last"))
-            further = further.select(
-                F.xxhash64("bucket", "band").alias("bucket"), F.col("next").alias("last"), "node", *_SKETCH
-            )
-            members = materialize(_shared(further))
-    while not members.isEmpty():
-        left = _mixed(members, links)
+        for _ in range(ROUNDS):
+            if left.isEmpty():
+                break
+            left = _mixed(_round(left, links), links)
         if left.isEmpty():
             break
-        sizes = left.groupBy("bucket", "part").agg(F.count("*").alias("count"))
-        ranked = materialize(left.join(materialize(sizes), ["bucket", "part"]))
-        links.add(_star(ranked, threshold, rep="count"))
-        gone = ranked.groupBy("bucket").agg(F.min(F.struct("count", "node")).alias("r"))
-        gone = materialize(gone.select("bucket", F.col("r.node").alias("gone")))
-        members = materialize(
-            ranked.join(gone, "bucket").where("node != gone").select(*members.columns)
-        )
+        _few(left.where(f"minors <= {FEW}"), links)
+        left = _mixed(left.where(f"minors > {FEW}").select(*members.columns), links)
+        if cut < CUTS and not left.isEmpty():
+            left = _mixed(_cut(left, classes), links)
+    while not left.isEmpty():
+        left = _mixed(_round(left, links), links)
     own = links.label(classes.select("set_key", "node"), "node", "component_id")
     named = signed.select("doc_id", "n_shingles", "set_key").join(
         materialize(own).select("set_key", "component_id"), "set_key", "left"

@@ -68,8 +68,9 @@ def _texts():
 
 @pytest.mark.parametrize("words", [2, 5])
 def test_near_duplicates_equal_brute_force(spark, words, monkeypatch):
-    monkeypatch.setattr(neardup, "SMALL_BUCKET", 8)  # so that large buckets are cut too
+    monkeypatch.setattr(neardup, "FEW", 3)  # so that crowded buckets are cut too
     monkeypatch.setattr(neardup, "CUTS", 1)
+    monkeypatch.setattr(neardup, "ROUNDS", 1)
     rows = [r for r in _texts() if r[0] is not None][:-1]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_shingles string").repartition(5)
     sets = {k: _set(t, words) for k, t, _ in rows}
