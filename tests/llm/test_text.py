@@ -120,6 +120,22 @@ def test_toxicity_without_both_classes(spark):
         assert {r.toxic_score for r in toxicity.score(docs, model).collect()} == {constant}
 
 
+def test_capped_samples_keep_the_meaning_of_a_score(spark, monkeypatch):
+    """A third of the documents with a lexicon word are toxic, at any caps."""
+    docs = [
+        (i, " ".join(f"calm{(i * k) % 97}" for k in range(1, 12)) + (" nasty" if i % 8 == 0 else ""))
+        for i in range(4000)
+    ]
+    labels = [(i, int(i % 24 == 0)) for i in range(4000)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "TOXIC_ROWS", 120)
+    monkeypatch.setattr(toxicity, "OTHER_ROWS", 240)
+    scored = toxicity.score(docs, toxicity.fit(docs, labels)).where("doc_id % 8 = 0")
+    mean, above = scored.agg(F.avg("toxic_score"), F.avg((F.col("toxic_score") >= 0.5).cast("int"))).first()
+    assert 0.2 <= mean <= 0.47 and above <= 0.1
+
+
 # --- quality -------------------------------------------------------------------------
 def test_quality_keeps_good_and_rejects_junk(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
