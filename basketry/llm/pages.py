@@ -2,7 +2,8 @@
 
 A page is cut into blocks of text at its block-level tags. Each block has a few
 numbers: its words, its link density, those of the blocks before and behind it,
-and what its enclosing elements say of themselves. A decision tree, trained on
+and what its enclosing elements say of themselves. A mark on what holds the
+page's main text, and an article element that is but a teaser, say nothing. A decision tree, trained on
 the small labelled tables below, tells article blocks from the rest.
 """
 
@@ -92,12 +93,14 @@ CONTEXTS = (
     (0, 0, 1, 1, 1, 1, 0, 0),
     (30, 0, 1, 1, 1, 0, 1, 0),
     # outside the article of a page that has one
-    (0, 0, 0, 0, 1, 0, 0, 0),
     (0, 0, 0, 0, 1, 1, 0, 0),
     (100, 0, 0, 0, 1, 0, 1, 0),
     (0, 1, 0, 0, 1, 0, 0, 0),
     (100, 1, 0, 0, 1, 0, 1, 0),
     (0, 0, 1, 0, 1, 0, 0, 0),
+    # side bars and marked blocks in a teaser's article
+    (0, 1, 0, 1, 0, 0, 0, 0),
+    (0, 0, 1, 1, 0, 0, 0, 0),
     # menus, footers and marked blocks of a page that names no article
     (0, 1, 0, 0, 0, 0, 0, 0),
     (0, 1, 0, 0, 0, 1, 0, 0),
@@ -132,12 +135,24 @@ PLAIN = (
     (1, 60, 0, 0, 0, 0),
     (1, 0, 0, 2, 100, 0),
 )
-_SIZES = (1, 4, 15, 60)
+#: Blocks outside the article of a page that has one, and blocks of a teaser's
+#: article: the least words to be one of the main text if both neighbours are
+#: text of 15 words or more, and if not. Both flags, then these.
+BY_SIZE = (
+    (0, 1, 60, 120),
+    (1, 0, 15, 60),
+)
+_SIZES = (1, 4, 15, 60, 120)
 _NEIGHBOURS = ((0, 0), (2, 100), (15, 0), (60, 0))
+#: A body element holds the article if it has this share of the plain text outside.
+BODY_SHARE = 0.25
+#: A mark is of a wrapper if it holds so many times the unmarked text, and so many
+#: words if it encloses neither an article nor a first heading.
+WRAPPER_TIMES, WRAPPER_WORDS = 4, 100
 
 
 def labelled_table() -> list[tuple]:
-    """Rows of FEATURES and the label: contexts at every size, and plain blocks."""
+    """Rows of FEATURES and the label: contexts at every size, and blocks told by size."""
     rows = [
         (words, links, *before, *behind, *rest)
         for first, *rest in CONTEXTS
@@ -147,6 +162,16 @@ def labelled_table() -> list[tuple]:
         for before in _NEIGHBOURS
         for behind in _NEIGHBOURS
     ]
+    for in_body, has_body, amid, alone in BY_SIZE:
+        for words in _SIZES:
+            for before in _NEIGHBOURS:
+                for behind in _NEIGHBOURS:
+                    least = amid if min(before[0], behind[0]) >= 15 else alone
+                    rows += [
+                        (words, links, *before, *behind, 0, 0, in_body, has_body, *kind, int(links < 50 and words >= least))
+                        for links in (0, 30, 100)
+                        for kind in (((0, 0), (1, 0), (0, 1)) if in_body else ((0, 0),))
+                    ]
     for words, wb, lb, wa, la, label in PLAIN:
         rows += [(words, links, wb, lb, wa, la, 0, 0, 0, 0, h, 0, label) for links in (0, 30) for h in (0, 1)]
     return rows
@@ -163,7 +188,7 @@ class Node:
     high: Node | None = None
 
 
-def train(table: list[tuple] | None = None, depth: int = 10) -> Node:
+def train(table: list[tuple] | None = None, depth: int = 16) -> Node:
     """A classification tree by Gini impurity."""
     data = np.array(table or labelled_table(), float)
 
@@ -206,6 +231,8 @@ class Block:
     heading: bool = False
     list_item: bool = False
     text: str = ""
+    marks: tuple[int, ...] = ()  # numbers of the marked elements around it
+    body: int = 0  # number of the outermost article or main
 
 
 def _marks(attributes: str) -> bool:
@@ -223,7 +250,10 @@ def _marks(attributes: str) -> bool:
 def blocks(page: str) -> list[Block]:
     """The page's text blocks in order, with what encloses them."""
     found: list[Block] = []
-    open_: list[tuple[str, bool, bool, bool]] = []  # name, around, marked, in body
+    open_: list[tuple[str, bool, tuple[int, ...], int]] = []  # name, around, marks, body
+    seen = 0
+    leading: set[int] = set()  # marks around an article, main or first heading
+    hidden: set[int] = set()
     now = Block()
     links = 0
 
@@ -232,8 +262,8 @@ def blocks(page: str) -> list[Block]:
         now.text = " ".join(html_.unescape("".join(now.parts)).split())
         if now.text:
             found.append(now)
-        _, around, marked, body = open_[-1] if open_ else ("", False, False, False)
-        now = Block(around=around, marked=marked, in_body=body)
+        _, around, marks, body = open_[-1] if open_ else ("", False, (), 0)
+        now = Block(around=around, marked=bool(marks), in_body=bool(body), marks=marks, body=body)
         names = [name for name, *_ in open_[-4:]]
         now.heading = any(n in ("h1", "h2", "h3", "h4", "h5", "h6") for n in names)
         now.list_item = "li" in names
@@ -276,28 +306,72 @@ def blocks(page: str) -> list[Block]:
             while open_ and name in CLOSED_BY.get(open_[-1][0], ()):
                 open_.pop()
         if name not in VOID and not token[3].endswith("/"):
-            _, around, marked, body = open_[-1] if open_ else ("", False, False, False)
+            _, around, marks, body = open_[-1] if open_ else ("", False, (), 0)
+            seen += 1
             top = name in ("html", "body", *BODY)
+            if not top and _marks(token[3]):
+                marks = (*marks, seen)
+                if _HIDDEN.search(token[3]):
+                    hidden.add(seen)
+            if not around and (name == "h1" or name in BODY):
+                leading.update(marks)
             open_.append(
                 (
                     name,
                     around or (name in AROUND and name != "figure" and not (body and name == "header")),
-                    marked or (not top and _marks(token[3])),
-                    body or name in BODY,
+                    marks,
+                    body or (seen if name in BODY else 0),
                 )
             )
             links += name == "a"
         if name in BLOCKS:
             end()
     end()
+    _unmark(found, leading, hidden)
     return found
 
 
+def _plain(found: list[Block]) -> list[tuple[Block, int]]:
+    """Blocks that are neither enclosed nor mostly links, with their words."""
+    return [(b, len(b.text.split())) for b in found if not b.around and 2 * b.linked < len(b.text)]
+
+
+def _unmark(found: list[Block], leading: set[int], hidden: set[int]) -> None:
+    """Takes back marks of wrappers: elements that hold nearly all of the text."""
+    plain = _plain(found)
+    held: dict[int, int] = {}
+    for block, words in plain:
+        for mark in block.marks:
+            held[mark] = held.get(mark, 0) + words
+    rest = sum(words for b, words in plain if not b.marks)
+    wrappers: set[int] = set()
+    for mark in sorted(held):  # outer ones first
+        whole = mark in leading or (rest == 0 and held[mark] >= WRAPPER_WORDS)
+        if mark not in hidden and whole and held[mark] > WRAPPER_TIMES * rest:
+            wrappers.add(mark)
+            rest = sum(words for b, words in plain if wrappers.issuperset(b.marks))
+    if wrappers:
+        for block in found:
+            block.marked = not wrappers.issuperset(block.marks)
+
+
+def _has_body(found: list[Block]) -> bool:
+    """Whether an unmarked article or main element holds the article."""
+    inside: dict[int, int] = {}
+    outside = 0
+    for block, words in _plain(found):
+        if not block.marked and block.body:
+            inside[block.body] = inside.get(block.body, 0) + words
+        elif not block.marked and words >= 15:
+            outside += words
+    return bool(inside) and max(inside.values()) >= BODY_SHARE * outside
+
+
 def main_text(page: str | None, tree: Node) -> str:
     """The article's blocks, joined by one space; empty if there is none."""
     found = blocks(page or "")
     sizes = [(len(b.text.split()), 100 * min(1.0, b.linked / max(1, len(b.text)))) for b in found]
-    has_body = any(b.in_body for b in found)
+    has_body = _has_body(found)
     kept = []
     for i, block in enumerate(found):
         before = sizes[i - 1] if i else (0, 0)

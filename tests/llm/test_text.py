@@ -53,6 +53,33 @@ def test_broken_and_odd_pages(page, text):
     assert pages.main_text(page, pages.train()) == text
 
 
+_LONG = " ".join(f"word{i}" for i in range(70))
+_MAIN = f"<p>{_LONG}</p>" * 4
+
+
+@pytest.mark.parametrize(
+    "page, words",
+    [
+        # a teaser as article, before or behind, marked or in a side bar
+        (f"<div>{_MAIN}</div><article><h3><a href=x>More</a></h3><p>A short teaser.</p></article>", 280),
+        (f"<article><p>A short teaser.</p></article><div>{_MAIN}</div>", 280),
+        (f"<div>{_MAIN}</div><aside><article><p>{_LONG}</p></article></aside>", 280),
+        (f"<div>{_MAIN}</div><div class=related><article><p>{_LONG}</p></article></div>", 280),
+        # a large block outside the article
+        (f"<article>{_MAIN}</article><div>{_LONG} {_LONG}</div><div>Short.</div>", 420),
+        # a wrapper with a marked name; what is marked within it stays out
+        (f"<div class='page has-sidebar sidebar'><article>{_MAIN}</article></div>", 280),
+        (f"<div class=widget><h1>Head</h1>{_MAIN}<div class=comments><p>{_LONG}</p></div></div>", 281),
+        (f"<div class=social>{_MAIN}</div>", 280),
+        # long comments beside a short article
+        (f"<article><p>Short news.</p></article><div class=comments>{_MAIN}</div>", 2),
+        (f"<div hidden class=modal><h1>x</h1>{_MAIN}</div>", 0),
+    ],
+)
+def test_main_text_wherever_it_lies(page, words):
+    assert len(pages.main_text(page, pages.train()).split()) == words
+
+
 def test_extract_keeps_columns_and_rows(spark):
     rows = [(1, "u", ARTICLE, "clash"), (2, None, None, None), (2, None, None, None), (None, "x", "", "y")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
