@@ -14,6 +14,7 @@ All randomness is a hash of keys and a seed, so reruns agree.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -179,6 +180,61 @@ def shard_quotas(draws: DataFrame, levels: int) -> DataFrame:
     )
 
 
+def _ahead(blocks: DataFrame) -> DataFrame:
+    """``blocks`` with ``end``, the words of a source through it, and ``rank``.
+
+    Sums over groups of blocks first, then within each group, so no window
+    holds all blocks of a source. Takes mix_source, group, order, block, words.
+    """
+    groups = blocks.groupBy("mix_source", "group").agg(
+        F.sum("words").alias("w"), F.count("*").alias("n")
+    )
+    ahead = Window.partitionBy("mix_source").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    groups = groups.select(
+        "mix_source", "group",
+        F.coalesce(F.sum("w").over(ahead), F.lit(0)).alias("group_words"),
+        F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("group_blocks"),
+    )
+    within = Window.partitionBy("mix_source", "group").orderBy("order", "block")
+    through = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        blocks.withColumn("through", F.sum("words").over(through))
+        .withColumn("number", F.row_number().over(within) - 1)
+        .join(materialize(groups), ["mix_source", "group"])
+        .withColumn("end", F.col("through") + F.col("group_words"))
+        .withColumn("rank", F.col("number") + F.col("group_blocks"))
+        .drop("through", "number", "group_words", "group_blocks")
+    )
+
+
+def _fill(rows: DataFrame, border: DataFrame) -> DataFrame:
+    """Of each border block, the keys of rows that fit its ``left`` in hashed order.
+
+    Rows that repeat go together. Returns mix_source, block, some and over,
+    what then is left.
+    """
+    taken = F.aggregate(
+        "rows",
+        F.struct(F.col("left").alias("left"), F.array().cast("array<bigint>").alias("keys")),
+        lambda acc, r: F.when(
+            (r["n"] * r["mix_size"] <= acc["left"]) & (r["mix_size"] > 0),
+            F.struct(
+                (acc["left"] - r["n"] * r["mix_size"]).alias("left"),
+                F.concat(acc["keys"], F.array(r["mix_key"])).alias("keys"),
+            ),
+        ).otherwise(acc),
+    )
+    return (
+        rows.join(border.select("mix_source", "block", "left"), ["mix_source", "block"])
+        .groupBy("mix_source", "block", "left", "mix_key", "mix_size")
+        .agg(F.count("*").alias("n"))
+        .groupBy("mix_source", "block", "left")
+        .agg(F.array_sort(F.collect_list(F.struct("mix_key", "mix_size", "n"))).alias("rows"))
+        .withColumn("taken", taken)
+        .select("mix_source", "block", F.col("taken.keys").alias("some"), F.col("taken.left").alias("over"))
+    )
+
+
 def plan_mix(
     docs: DataFrame,
     weights: tuple[float, ...] = (5.0, 2.0, 1.0),
@@ -195,7 +251,8 @@ def plan_mix(
     stop at ``most`` times their size. A row is taken whole, ``most`` times at
     the most. Whole rounds of a source take all its rows; the rest of the
     target takes whole blocks in permuted order while they fit, and from the
-    next block its rows in hashed order, each one that still fits.
+    next block its rows in hashed order, each one that still fits; what these
+    leave goes to the blocks behind it in the same way, until no row fits.
 
     A null text has no words; a source without words has target 0. Rows that
     repeat are rows of their own, in one block. An empty table stays empty.
@@ -224,60 +281,53 @@ def plan_mix(
     )
     block = F.pmod(F.xxhash64(F.col("mix_key"), F.lit("block")), F.col("n_blocks"))
     rows = narrow.join(few.select("mix_source", "n_blocks", "n_groups"), "mix_source")
+    rows = rows.withColumn("block", block)
+    of_key = rows.groupBy("mix_source", "block", "n_groups", "mix_key", "mix_size").agg(F.count("*").alias("n"))
+    together = F.col("n") * F.col("mix_size")
     blocks = (
-        rows.withColumn("block", block)
-        .groupBy("mix_source", "block", "n_groups")
-        .agg(F.sum("mix_size").alias("words"))
+        of_key.groupBy("mix_source", "block", "n_groups")
+        .agg(F.sum(together).alias("words"), F.min(F.when(together > 0, together)).alias("least"))
         .withColumn("order", F.xxhash64(F.lit(SEED), "mix_source", "block"))
         .withColumn("group", F.pmod("order", "n_groups"))
     )
-    blocks = materialize(blocks.drop("n_groups"))
-    # positions in permuted order: sums over groups, then within each group
-    groups = blocks.groupBy("mix_source", "group").agg(
-        F.sum("words").alias("w"), F.count("*").alias("n")
-    )
-    ahead = Window.partitionBy("mix_source").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
-    groups = groups.select(
-        "mix_source", "group",
-        F.coalesce(F.sum("w").over(ahead), F.lit(0)).alias("group_words"),
-        F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("group_blocks"),
-    )
-    within = Window.partitionBy("mix_source", "group").orderBy("order", "block")
-    through = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = (
-        blocks.withColumn("through", F.sum("words").over(through))
-        .withColumn("number", F.row_number().over(within) - 1)
-        .join(materialize(groups), ["mix_source", "group"])
-        .join(few, "mix_source")
-        .withColumn("end", F.col("through") + F.col("group_words"))
-        .withColumn("rank", F.col("number") + F.col("group_blocks"))
-        .withColumn("whole", F.col("end") <= F.col("rest"))
-        .withColumn("left", F.col("rest") - (F.col("end") - F.col("words")))
-        .withColumn("partly", ~F.col("whole") & (F.col("left") > 0))
-        .select("mix_source", "block", "rank", "rounds", "n_blocks", "whole", "partly", "left")
-    )
-    placed = materialize(placed)
-    # of the block at each source's border, the rows that fit in hashed order
-    border = rows.withColumn("block", block).join(
-        placed.where("partly").select("mix_source", "block", "left"), ["mix_source", "block"]
+    blocks = materialize(
+        _ahead(materialize(blocks.drop("n_groups")))
+        .join(few.drop("n_groups"), "mix_source")
+        .withColumnRenamed("rank", "place")
+        .withColumn("draw", F.col("place"))
     )
-    taken = F.aggregate(
-        "rows",
-        F.struct(F.col("left").alias("left"), F.array().cast("array<bigint>").alias("keys")),
-        lambda acc, r: F.when(
-            (r["n"] * r["mix_size"] <= acc["left"]) & (r["mix_size"] > 0),
-            F.struct(
-                (acc["left"] - r["n"] * r["mix_size"]).alias("left"),
-                F.concat(acc["keys"], F.array(r["mix_key"])).alias("keys"),
-            ),
-        ).otherwise(acc),
-    )
-    some = (
-        border.groupBy("mix_source", "block", "left", "mix_key", "mix_size")
-        .agg(F.count("*").alias("n"))
-        .groupBy("mix_source", "block", "left")
-        .agg(F.array_sort(F.collect_list(F.struct("mix_key", "mix_size", "n"))).alias("rows"))
-        .select("mix_source", "block", taken["keys"].alias("some"))
+    # Whole blocks while they fit, rows of the block at each source's border, then
+    # the same of the blocks behind it with what that leaves, until no row fits.
+    level = blocks.withColumn("over", F.col("rest"))
+    taken, filled = [], []
+    while True:
+        left = F.col("over") - (F.col("end") - F.col("words"))
+        level = materialize(
+            level.withColumn("whole", F.col("end") <= F.col("over"))
+            .withColumn("left", left)
+            .withColumn("partly", ~F.col("whole") & (F.col("left") > 0))
+            .where("whole OR partly")
+            .select("mix_source", "block", "place", "draw", "whole", "partly", "left")
+        )
+        some = materialize(_fill(rows, level.where("partly")))
+        taken.append(level.select("mix_source", "block", "draw", "whole", "partly"))
+        filled.append(some.select("mix_source", "block", "some"))
+        border = level.where("partly").join(some, ["mix_source", "block"]).select(
+            "mix_source", F.col("place").alias("border"), F.col("draw").alias("drawn"), "over"
+        )
+        behind = materialize(
+            blocks.select("mix_source", "block", "group", "order", "words", "least", "place")
+            .join(border, "mix_source")
+            .where("place > border AND least <= over")
+        )
+        if behind.isEmpty():
+            break
+        level = _ahead(behind).withColumn("draw", F.col("drawn") + 1 + F.col("rank"))
+    taken, filled = (reduce(DataFrame.union, parts) for parts in (taken, filled))
+    placed = materialize(
+        blocks.select("mix_source", "block", F.col("place").alias("rank"), "rounds", "n_blocks")
+        .join(taken, ["mix_source", "block"], "left")
+        .fillna(False, ["whole", "partly"])
     )
     extra = F.count_if(F.col("whole") | F.col("partly"))
     draws = placed.groupBy(F.col("mix_source").alias("source_key")).agg(
@@ -289,13 +339,15 @@ def plan_mix(
     shard = lambda at: F.size(F.filter("ends", lambda e: e <= at))
     number = F.col("rounds") + (F.col("whole") | F.col("partly")).cast("long")
     plan = materialize(
-        placed.join(materialize(some), ["mix_source", "block"], "left")
+        placed.join(filled, ["mix_source", "block"], "left")
         .join(materialize(quotas), "mix_source")
         .withColumn(
             "shards",
             F.when(number > 0, F.transform(
                 F.sequence(F.lit(0).cast("long"), number - 1),
-                lambda r: shard(r * F.col("n_blocks") + F.col("rank")),
+                lambda r: shard(
+                    r * F.col("n_blocks") + F.when(r < F.col("rounds"), F.col("rank")).otherwise(F.col("draw"))
+                ),
             )).otherwise(F.array().cast("array<int>")),
         )
         .select("mix_source", "block", "rounds", "partly", "some", "shards")

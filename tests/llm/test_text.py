@@ -281,6 +281,17 @@ def test_mix_meets_its_targets(spark):
     assert mixing.plan_mix(docs.limit(0)).count() == 0
 
 
+def test_mix_fills_a_target_beside_a_very_long_document(spark):
+    """What the long document's block leaves goes to the blocks behind it."""
+    rows = [(i, "w " * (4 + i % 3), "a") for i in range(1500)] + [(9000, "w " * 20_000, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = mixing.plan_mix(docs, share=0.26, shard_words=1000).collect()
+    took = sum(r.mix_size * len(r.mix_shards) for r in got)
+    target = got[0].mix_target
+    assert len(got) == 1501 and 7000 < target and target - 4 < took <= target
+    assert {x for r in got for x in r.mix_shards} <= set(range(8))
+
+
 def test_tree_splits_all_quotas_evenly(spark):
     draws = {"a": 4000, "b": 300, "c": 1, "d": 0}
     df = spark.createDataFrame(list(draws.items()), "source_key string, draws long")
