@@ -17,6 +17,7 @@ from basketry.llm import (
     neardup,
     packing,
     pages,
+    pieces,
     quality,
     toxicity,
 )
@@ -24,6 +25,7 @@ from basketry.llm.common import in_folds, table
 from basketry.session import shared_dir
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,6 +104,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path(TOKENIZER), end_id=0, size=1024)
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in pieces and back, with digests of ids and texts."""
+    docs = table(spark, sf_dir, "documents")
+    return pieces.recode(docs, public_tokenizers.path(PIECES)).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        "same_as_library",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -115,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_near_vectors,
         op9_licences,
         op10_packing,
+        op11_sentencepiece,
     )
 }
 
