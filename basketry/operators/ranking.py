@@ -156,17 +156,19 @@ def with_previous(
 
 
 def with_number_in_group(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, kind: str = "int"
 ) -> DataFrame:
     """``row_number`` within ``keys``, spread like ``with_previous``.
 
+    ``kind`` is the number's type; take ``long`` where a group may have over 2^31 rows.
+
     A row's number is its global position less the first position of its
     group. Where a group began in an earlier range, that position is carried
     over from range to range, so nothing is joined on the keys. Runs a job.
     """
     numbered = _with_start(df, keys, order)
     number = F.col(_GLOBAL) - F.col(_START) + 1
-    return numbered.withColumn(name, number.cast("int")).drop(_GLOBAL, _START)
+    return numbered.withColumn(name, number.cast(kind)).drop(_GLOBAL, _START)
 
 
 _GLOBAL, _START = "_global", "_start"
