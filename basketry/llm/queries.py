@@ -13,6 +13,7 @@ from basketry.llm import (
     forest,
     idfiles,
     licences,
+    merkle,
     mixing,
     neardup,
     packing,
@@ -116,6 +117,14 @@ def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents, with every proof checked."""
+    found = merkle.verify(merkle.manifest(table(spark, sf_dir, "documents")))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -130,6 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_licences,
         op10_packing,
         op11_sentencepiece,
+        op12_merkle,
     )
 }
 
