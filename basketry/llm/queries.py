@@ -23,6 +23,7 @@ from basketry.llm import (
     toxicity,
 )
 from basketry.llm.common import in_folds, table
+from basketry.llm.oracles import ORACLE_SQL  # noqa: F401
 from basketry.session import shared_dir
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -142,5 +143,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op12_merkle,
     )
 }
-
-ORACLE_SQL: dict[str, str] = {}
