@@ -20,6 +20,7 @@ from basketry.llm import (
     pages,
     pieces,
     quality,
+    spelling,
     toxicity,
 )
 from basketry.llm.common import in_folds, table
@@ -126,6 +127,11 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spelling variants of all words of all documents."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -141,5 +147,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_packing,
         op11_sentencepiece,
         op12_merkle,
+        op13_spelling,
     )
 }
