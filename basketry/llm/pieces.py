@@ -15,7 +15,10 @@ from pyspark.sql import DataFrame, functions as F
 from basketry.llm.common import python_tasks
 
 #: Chunks kept in the cache of one Python worker, and the longest one kept.
-CACHE_CHUNKS, CACHE_CHARS = 500_000, 40
+CACHE_CHUNKS, CACHE_CHARS = 700_000, 40
+
+#: Parts up to this length are merged side by side, so many at a time.
+SIDE_BY_SIDE, ROWS = 32, 20_000
 
 #: Stands for a space within pieces.
 SPACE = "▁"
@@ -53,7 +56,7 @@ class PieceCodec:
         self.surface: list[bytes] = []
         self.silent: set[int] = set()
         self.opening: set[int] = set()
-        self.neighbours: set[str] = set()
+        neighbours: set[str] = set()
         for i in range(sp.vocab_size()):
             piece = sp.id_to_piece(i)
             if sp.is_byte(i):
@@ -72,13 +75,22 @@ class PieceCodec:
                     self.unused.add(piece)
                 if piece.startswith(SPACE):
                     self.opening.add(i)
-                self.neighbours.update(map(str.__add__, piece, piece[1:]))
+                neighbours.update(map(str.__add__, piece, piece[1:]))
                 self.surface.append(piece.replace(SPACE, " ").encode())
         if len(self.bytes) < 256:
             raise ValueError("the model has no byte pieces")
-        self.crosses = any(p[1] == SPACE != p[0] for p in self.neighbours)
+        self.crosses = any(p[1] == SPACE != p[0] for p in neighbours)
+        # two neighbouring characters of pieces as one number
+        self.neighbours = np.array(sorted(ord(a) << 32 | ord(b) for a, b in neighbours), np.int64)
         self.prefixed = sp.normalize("a").startswith(SPACE)
         self.known: dict[str, bytes] = {}  # ids of chunks and their parts
+        # symbols of the side by side agendas: pieces, then other letters within them
+        letters = {c for piece in self.ids for c in piece} - self.ids.keys()
+        self.symbols = {**self.ids, **{c: len(self.surface) + i for i, c in enumerate(sorted(letters))}}
+        self.plain = np.arange(len(self.surface) + len(letters))
+        self.plain[len(self.surface) :] = -1
+        self.plain[[self.ids[p] for p in self.unused]] = -1
+        self._table = None
 
     def merge(self, text: str) -> list[str]:
         """The pieces of a normalised text."""
@@ -126,34 +138,112 @@ class PieceCodec:
                 found.append(known)
         return found.tobytes()
 
-    def _kept(self, text: str, make) -> bytes:
-        ids = self.known.get(text)
-        if ids is None:
-            ids = make(text)
-            if len(text) <= CACHE_CHARS and len(self.known) < CACHE_CHUNKS:
-                self.known[text] = ids
-        return ids
-
-    def _chunk(self, text: str) -> bytes:
-        neighbours, parts, start = self.neighbours, [], 0
-        for i in range(1, len(text)):
-            if text[i - 1 : i + 1] not in neighbours:
-                parts.append(text[start:i])
-                start = i
-        if not start:
-            return self._part(text)
-        parts.append(text[start:])
-        return b"".join([self._kept(p, self._part) for p in parts])
-
-    def encode(self, text: str) -> bytes:
-        """The text's ids as unsigned 32-bit integers, without an end id."""
-        normal = self.library.normalize(text)
-        if self.crosses:
-            return self._chunk(normal)
+    def _parts(self, texts: list[str]) -> list[list[str]]:
+        """Each text, cut where no piece can cross."""
+        joined = "".join(texts)
+        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        pairs = codes[:-1] << 32 | codes[1:]
+        at = np.minimum(np.searchsorted(self.neighbours, pairs), len(self.neighbours) - 1)
+        ends = np.cumsum([len(t) for t in texts])
+        cut = np.append(self.neighbours[at] != pairs, True)
+        cut[ends - 1] = True
+        last = np.flatnonzero(cut) + 1
+        bounds = [0, *last.tolist()]
+        parts = [joined[a:b] for a, b in zip(bounds, bounds[1:])]
+        upto = [0, *np.searchsorted(last, ends, "right").tolist()]
+        return [parts[a:b] for a, b in zip(upto, upto[1:])]
+
+    def _pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each pair of symbols that makes a piece: key, rank of its score, the piece."""
+        if self._table is None:
+            found = []
+            for piece, i in self.ids.items():
+                for at in range(1, len(piece)):
+                    left, right = (self.symbols.get(x) for x in (piece[:at], piece[at:]))
+                    if left is not None and right is not None:
+                        found.append((left << 32 | right, self.order[piece], i))
+            found.sort()
+            keys, order, made = (np.array(x) for x in zip(*found))
+            ranks = np.unique(order, return_inverse=True)[1].astype(np.int32)
+            self._table = keys, ranks, made.astype(np.int64)
+        return self._table
+
+    def _side_by_side(self, parts: list[str]) -> list[bytes | None]:
+        """Ids of parts of about one length; none where a symbol is no piece."""
+        keys, ranks, made = self._pairs()
+        none, wide = np.iinfo(np.int32).max, max(map(len, parts))
+        length = np.array([len(p) for p in parts])
+        inside = np.arange(wide + 2) < length[:, None]  # two columns of nothing at the end
+        symbols = np.full((len(parts), wide + 2), -1, np.int64)
+        get = self.symbols.get
+        symbols[inside] = [get(c, -1) for c in "".join(parts)]
+
+        def look(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            key = np.where((left < 0) | (right < 0), -1, left << 32 | right)
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            return np.where(keys[at] == key, ranks[at], none), made[at]
+
+        agenda, joint = look(symbols[:, :-1], symbols[:, 1:])
+        after = np.tile(np.minimum(np.arange(1, wide + 3), wide + 1), (len(parts), 1))
+        before = np.tile(np.arange(-1, wide + 1), (len(parts), 1))
+        rows = np.arange(len(parts))
+        while True:
+            left = agenda[rows].argmin(1)  # the leftmost of equals
+            more = agenda[rows, left] < none
+            rows, left = rows[more], left[more]
+            if not len(rows):
+                break
+            right = after[rows, left]
+            following = after[rows, left] = after[rows, right]
+            before[rows, following] = left
+            symbols[rows, left] = joint[rows, left]
+            symbols[rows, right], agenda[rows, right], inside[rows, right] = -1, none, False
+            agenda[rows, left], joint[rows, left] = look(symbols[rows, left], symbols[rows, following])
+            ahead = before[rows, left]
+            r, k, a = rows[ahead >= 0], left[ahead >= 0], ahead[ahead >= 0]
+            agenda[r, a], joint[r, a] = look(symbols[r, a], symbols[r, k])
+        found = np.where(inside, np.where(symbols >= 0, self.plain[symbols], -1), 0)
+        whole = (found >= 0).all(1)
+        ids = found[inside].astype("=u4").tobytes()
+        ends = 4 * np.cumsum(inside.sum(1))
+        starts = np.append(0, ends[:-1])
+        return [ids[a:b] if w else None for a, b, w in zip(starts.tolist(), ends.tolist(), whole)]
+
+    def _learn(self, chunks: set[str]) -> list[str]:
+        """Find the ids of new chunks; returns those that are not to be kept."""
+        known, order = self.known, list(chunks)
+        if not order:
+            return []
+        cut = self._parts(order)
+        new = {p for parts in cut for p in parts if p not in known}
+        short = sorted((p for p in new if len(p) <= SIDE_BY_SIDE), key=len)
+        for i in range(0, len(short), ROWS):
+            some = short[i : i + ROWS]
+            known.update((p, x) for p, x in zip(some, self._side_by_side(some)) if x is not None)
+        for part in new:
+            if part not in known:
+                known[part] = self._part(part)
+        for chunk, parts in zip(order, cut):
+            if chunk not in known:
+                known[chunk] = b"".join([known[p] for p in parts])
+        passing, room = [], CACHE_CHUNKS - len(known) + len(new | chunks)
+        for text in new | chunks:
+            if len(text) > CACHE_CHARS or room <= 0:
+                passing.append(text)
+            else:
+                room -= 1
+        return passing
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The texts' ids as unsigned 32-bit integers, without an end id."""
+        normal = [self.library.normalize(t) for t in texts]
+        cut = [[t] if t else [] for t in normal] if self.crosses else [_CHUNKS.findall(t) for t in normal]
         known = self.known
-        return b"".join(
-            [known.get(c) or self._kept(c, self._chunk) for c in _CHUNKS.findall(normal)]
-        )
+        passing = self._learn({c for chunks in cut for c in chunks if c not in known})
+        out = [b"".join([known[c] for c in chunks]) for chunks in cut]
+        for text in passing:
+            del known[text]
+        return out
 
     def decode(self, ids: list[int]) -> str:
         """The text of some ids, with the bytes of neighbouring byte pieces joined."""
@@ -215,7 +305,7 @@ def recode(
         last = array("I", tail).tobytes()
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            found = [own.encode(t) + last for t in texts]
+            found = [x + last for x in own.encode(texts)]
             lists = [array("I", x).tolist() for x in found]
             decoded = [own.decode(x) for x in lists]
             same = [None] * len(texts)

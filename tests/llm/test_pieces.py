@@ -28,8 +28,8 @@ def _odd_texts():
 def test_ids_and_texts_equal_the_library(own):
     texts = _odd_texts()
     theirs = own.library.encode(texts, num_threads=1)
-    for text, ids in zip(texts, theirs):
-        ours = array("I", own.encode(text)).tolist()
+    for text, ids, found in zip(texts, theirs, own.encode(texts)):
+        ours = array("I", found).tolist()
         assert ours == ids
         assert own.decode(ours) == own.library.decode(ids) == text.replace("▁", " ")
 
@@ -37,13 +37,22 @@ def test_ids_and_texts_equal_the_library(own):
 def test_equal_scores_go_leftmost_first(own):
     # every run of spaces has the same score
     for n in range(1, 60):
-        assert array("I", own.encode(" " * n)).tolist() == own.library.encode(" " * n)
+        [found] = own.encode([" " * n])
+        assert array("I", found).tolist() == own.library.encode(" " * n)
 
 
 def test_cutting_at_impossible_neighbours_changes_nothing(own):
-    for text in _odd_texts()[:300]:
-        normal = own.library.normalize(text)
-        assert own._chunk(normal) == own._part(normal)
+    texts = [own.library.normalize(t) for t in _odd_texts()[:300] if t]
+    for text, parts in zip(texts, own._parts(texts)):
+        assert "".join(parts) == text
+        assert b"".join(own._part(p) for p in parts) == own._part(text)
+
+
+def test_agendas_side_by_side_equal_single_ones(own):
+    parts = sorted({p for x in own._parts([t for t in _odd_texts() if t]) for p in x if len(p) <= 32}, key=len)
+    for part, ids in zip(parts, own._side_by_side(parts)):
+        assert ids is None or ids == own._part(part)
+    assert own._side_by_side(["unused"]) == [own._part("unused")]
 
 
 def test_bytes_that_are_no_character_are_replaced_one_by_one(own):
