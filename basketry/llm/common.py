@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Iterable, Iterator
 from pathlib import Path
@@ -11,6 +12,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from basketry.session import shared_dir
+
 #: Rows per Arrow batch: bounds what a task holds of long texts at once.
 BATCH_ROWS = 1000
 
@@ -44,6 +47,35 @@ def python_tasks(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     context._basketry_shipped = True
 
 
+class Tables:
+    """Intermediate tables in the shared folder, deleted when no step reads them.
+
+    What is written has no lineage to replay when executors are lost.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.written: list[tuple[DataFrame, str]] = []
+
+    def write(self, df: DataFrame) -> DataFrame:
+        path = f"{shared_dir(self.spark)}/table-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        found = self.spark.read.schema(df.schema).parquet(path)
+        self.written.append((found, path))
+        return found
+
+    def free(self, *frames: DataFrame) -> None:
+        for frame, path in self.written:
+            if any(frame is f for f in frames):
+                there = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                there.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(there, True)
+        self.written = [w for w in self.written if not any(w[0] is f for f in frames)]
+
+    def keep(self, *frames: DataFrame) -> None:
+        """Delete all but these, which a lazy result still reads."""
+        self.free(*(w for w, _ in self.written if not any(w is f for f in frames)))
+
+
 def texts_of(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The key and the whole text, a null one empty; other columns are left out."""
     return df.select(

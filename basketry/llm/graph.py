@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from basketry.session import materialize
+from basketry.llm.common import Tables
 
 
 def _digest(edges: DataFrame) -> tuple:
@@ -25,7 +25,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     each id is written before it meets the links again, so that a hub's links
     stay in a plain shuffle, which Spark splits.
     """
-    edges = materialize(
+    tables = Tables(links.sparkSession)
+    edges = tables.write(
         links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
         .where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") != F.col("v")))
         .distinct()
@@ -33,22 +34,23 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     before = _digest(edges)
     while before[0]:
         both = edges.union(edges.select("v", "u"))
-        least = materialize(
+        least = tables.write(
             both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
         )
-        large = materialize(
+        large = tables.write(
             both.join(least, "u")
             .where(F.col("v") > F.col("u"))
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .distinct()
         )
-        least = materialize(large.groupBy("u").agg(F.min("v").alias("m")))
+        least = tables.write(large.groupBy("u").agg(F.min("v").alias("m")))
         small = (
             large.join(least, "u")
             .where(F.col("v") != F.col("m"))
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
         )
-        edges = materialize(small.union(least).distinct())
+        edges = tables.write(small.union(least).distinct())
+        tables.keep(edges)
         after = _digest(edges)
         if after == before:
             break

@@ -6,20 +6,20 @@
    estimates how many samples differ.
 2. Documents with equal sets become one class. From here on, rows are classes.
 3. Classes that agree in all four samples of one of 32 bands share a bucket.
-   A pair at similarity 0.8 shares none with probability 5e-8.
-4. A bucket's members are compared with its most central one, which shares most
-   buckets with others; pairs whose sketches are close are confirmed on the
-   full sets. Confirmed links give components. Only connection matters, so a
-   pair within one component is never formed, and the central member, now
-   compared with all, leaves the bucket. Some rounds of this join most of a
-   family of copies: a comparison a member and round.
-5. Buckets still in several components may hide links of the few members
-   outside their largest component. These are compared with all others, in
-   any bucket where they are few. A bucket where they are many, such as one
-   made by a passage that many documents share, is cut by each further band
-   and goes to step 4 again; a linked pair shares 13 of 32 bands on average.
-   What is still crowded after some cuts goes on by step 4 until one component
-   is left.
+4. Each class is compared with one central class, which shares most buckets with
+   others: the one of its buckets' central classes whose sketch is closest. Links
+   confirmed on the full sets give components. This joins most of a family of
+   copies with one comparison a class.
+5. Buckets that still hold several components may hide links. Those with the same
+   largest component make a group; every member outside that component meets all
+   members of the group, first by sketches alone, then, where these are close,
+   by full sets. Groups are cut into cells: a bounded block of the members
+   outside, held in memory, against a bounded block of all members. A cell gives
+   back only links that join components, never all pairs.
+
+Nothing is dropped: a linked pair is missed only if it shares no band (5e-8 at a
+similarity of 0.8) or if its sketches differ by more than ``MOST_BITS`` (over 5
+deviations at 0.8, about 2e-7), and then only if no other links join the two.
 """
 
 from __future__ import annotations
@@ -30,24 +30,21 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from basketry.llm.common import SEED, python_tasks, texts_of
+from basketry.llm.common import SEED, Tables, group_bounds, python_tasks, texts_of, whole_groups
 from basketry.llm.graph import components
-from basketry.session import materialize
 
 BANDS, ROWS = 32, 4
 SAMPLES = 256  # the first 128 make the bands
 SKETCH_BITS, WORDS = 512, 8
 #: XOR population count up to which a pair is checked on its full sets. At a
-#: similarity of 0.8 about 84 of 512 bits differ, give or take 11; this is over
-#: 4 deviations off, and stands for a similarity of 0.65.
-MOST_BITS = 130
-#: Rounds of comparing with central members, and how many members outside the
-#: largest component are few.
-ROUNDS, FEW = 4, 64
-#: How many further bands may cut a crowded bucket.
-CUTS = 5
+#: similarity of 0.8 about 84 of 512 bits differ, give or take 11.
+MOST_BITS = 140
+#: Rows that a cell holds and that pass it by, on average: for sketches, for sets.
+#: Cells of sets are also bounded by their shingles.
+SKETCH_CELL, SET_CELL = (512, 2048), (64, 256)
+HELD_SHINGLES, PASSING_SHINGLES = 200_000, 800_000
 
 _FOLD = bytes.maketrans(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz     "
@@ -140,7 +137,10 @@ def bands(least: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, words: int) -> DataFrame:
-    """Per row: doc_id, n_shingles, set_key, sketch and bands (null if empty)."""
+    """Per row: doc_id, text_key, n_shingles, set_key, sketch and bands (null if empty).
+
+    ``text_key`` is a hash of the text, which tells rows of one doc_id apart.
+    """
 
     def sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -157,6 +157,7 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
             yield pd.DataFrame(
                 {
                     "doc_id": frame["doc_id"],
+                    "text_key": frame["text_key"],
                     "n_shingles": [r[0] for r in rows],
                     "set_key": [r[1] for r in rows],
                     "sketch": [r[2] for r in rows],
@@ -164,151 +165,250 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                 }
             )
 
-    return texts_of(docs).mapInPandas(
+    return keyed_texts(docs).mapInPandas(
         sign,
-        "doc_id long, n_shingles long, set_key binary, sketch array<bigint>, bands array<bigint>",
+        "doc_id long, text_key long, n_shingles long, set_key binary, sketch array<bigint>, "
+        "bands array<bigint>",
     )
 
 
+def keyed_texts(docs: DataFrame) -> DataFrame:
+    return texts_of(docs).withColumn("text_key", F.xxhash64("text"))
+
+
+_SKETCH = ["n", *(f"s{i}" for i in range(WORDS))]
+
+
 def _close(a: str, b: str, threshold: int) -> Column:
     """Whether two rows' sketches and set sizes allow a link."""
-    bits = reduce(
+    n, m = F.col(f"{a}n"), F.col(f"{b}n")
+    return (100 * F.least(n, m) >= threshold * F.greatest(n, m)) & (_bits(a, b) <= MOST_BITS)
+
+
+def _bits(a: str, b: str) -> Column:
+    return reduce(
         Column.__add__,
         [F.bit_count(F.col(f"{a}s{i}").bitwiseXOR(F.col(f"{b}s{i}"))) for i in range(WORDS)],
     )
-    n, m = F.col(f"{a}n"), F.col(f"{b}n")
-    return (100 * F.least(n, m) >= threshold * F.greatest(n, m)) & (bits <= MOST_BITS)
 
 
-def _confirm(pairs: DataFrame, texts: DataFrame, words: int, threshold: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
+def _cells(rows: DataFrame, size: tuple[int, int], shingles_too: bool) -> DataFrame:
+    """Rows (g, node, held, n, ...) dealt to the cells (g, i, j) of their group.
 
-    def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, ahead = None, None
-        for frame in frames:
-            keep = []
-            for a, text, other in zip(frame["a"], frame["text_a"], frame["text_b"]):
-                if a != last:
-                    last, ahead = a, shingles(text, words)
-                found = shingles(other, words)
-                both = len(np.intersect1d(ahead, found, assume_unique=True))
-                keep.append(100 * both >= threshold * (len(ahead) + len(found) - both))
-            yield frame.loc[np.array(keep, bool), ["a", "b"]]
-
-    joined = pairs.join(
-        texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"
-    ).join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    return joined.select("a", "b", "text_a", "text_b").mapInPandas(check, "a long, b long")
-
-
-class _Links:
-    """Confirmed links so far, and the component of every class in one."""
-
-    def __init__(self, texts: DataFrame, words: int, threshold: int):
-        self.texts, self.words, self.threshold = texts, words, threshold
-        self.labels = texts.sparkSession.createDataFrame([], "id long, component long")
-
-    def label(self, df: DataFrame, node: str, name: str) -> DataFrame:
-        """With the component of a class; its own id without links."""
-        labels = self.labels.select(F.col("id").alias(node), F.col("component").alias(name))
-        return df.join(labels, node, "left").withColumn(name, F.coalesce(name, node))
-
-    def _take(self, pairs: DataFrame) -> None:
-        found = materialize(_confirm(pairs, self.texts, self.words, self.threshold))
-        if not found.isEmpty():
-            known = self.labels.select(F.col("id").alias("a"), F.col("component").alias("b"))
-            self.labels = materialize(components(known.union(found)))
-
-    def add(self, pairs: DataFrame) -> None:
-        """Confirm candidate pairs (a < b), one for each b first.
-
-        Those that the first links have joined already need no check.
-        """
-        pairs = materialize(pairs.distinct())
-        if pairs.isEmpty():
-            return
-        first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-        self._take(first)
-        rest = pairs.join(first.select("b", F.col("a").alias("done")), "b")
-        rest = self.label(self.label(rest.where("a != done"), "a", "ca"), "b", "cb")
-        rest = materialize(rest.where("ca != cb").select("a", "b"))
-        if not rest.isEmpty():
-            self._take(rest)
+    A group's held rows are cut into blocks i, the others into blocks j, and each
+    goes to all cells of its block. Average sizes of blocks are bounded.
+    """
 
+    def blocks(held: bool, most: int, most_shingles: int) -> Column:
+        this = F.col("held") == held
+        need = F.count(F.when(this, 1)) / most
+        if shingles_too:
+            need = F.greatest(need, F.sum(F.when(this, F.col("n"))) / most_shingles)
+        return F.greatest(F.ceil(need), F.lit(1)).cast("int")
 
-_SKETCH = ["n", *(f"s{i}" for i in range(WORDS))]
+    grid = rows.groupBy("g").agg(
+        blocks(True, size[0], HELD_SHINGLES).alias("high"),
+        blocks(False, size[1], PASSING_SHINGLES).alias("wide"),
+    )
+    own = F.pmod(F.xxhash64("node", "held"), F.when(F.col("held"), F.col("high")).otherwise(F.col("wide")))
+    every = F.explode(F.sequence(F.lit(0), F.when(F.col("held"), F.col("wide")).otherwise(F.col("high")) - 1))
+    dealt = rows.join(grid, "g").withColumn("own", own.cast("int")).withColumn("every", every)
+    return dealt.select(
+        *rows.columns,
+        F.when(F.col("held"), F.col("own")).otherwise(F.col("every")).alias("i"),
+        F.when(F.col("held"), F.col("every")).otherwise(F.col("own")).alias("j"),
+    )
 
 
-def _shared(members: DataFrame) -> DataFrame:
-    """The (bucket, last, node) rows of buckets with two classes or more."""
-    several = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    return members.join(several.select("bucket"), "bucket")
+def _in_cells(cells: DataFrame, run, schema: str) -> DataFrame:
+    """Apply ``run`` to frames of whole cells, whose held rows come first."""
+    order = ["g", "i", "j"]
+    return (
+        cells.repartition(*order)
+        .sortWithinPartitions(*order, F.desc("held"))
+        .mapInPandas(lambda frames: run(whole_groups(frames, order)), schema)
+    )
 
 
-def _mixed(members: DataFrame, links: _Links) -> DataFrame:
-    """The members of buckets with several components.
+def _open_pairs(cell: pd.DataFrame, threshold: int) -> tuple[int, np.ndarray]:
+    """The number of held rows, and which (held, other) pairs may be links to find.
 
-    Adds their component as ``part``, whether it is not the largest of the
-    bucket as ``minor``, and the number of such members as ``minors``.
+    These are in different components, close by their sketches, not compared
+    yet, and, where both are held in their group, in order.
+    """
+    top = int(cell["held"].sum())
+    node, part, n, hub = (cell[c].to_numpy() for c in ("node", "part", "n", "hub"))
+    outside = cell["outside"].to_numpy()
+    sketch = cell[[f"s{i}" for i in range(WORDS)]].to_numpy().view(_U)
+    a, b = slice(0, top), slice(top, None)
+    able = part[a, None] != part[None, b]
+    able &= (hub[a, None] != node[None, b]) & (node[a, None] != hub[None, b])
+    able &= ~outside[None, b] | (node[a, None] < node[None, b])
+    able &= 100 * np.minimum(n[a, None], n[None, b]) >= threshold * np.maximum(n[a, None], n[None, b])
+    bits = np.zeros(able.shape, np.int32)
+    for w in range(WORDS):
+        bits += np.bitwise_count(sketch[a, w, None] ^ sketch[None, b, w])
+    return top, able & (bits <= MOST_BITS)
+
+
+def _candidates(rows: DataFrame, threshold: int) -> DataFrame:
+    """The rows (g, node, held) of groups that full sets have to decide."""
+
+    def run(cells: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in cells:
+            edges, found = group_bounds(frame, ["g", "i", "j"]), []
+            for start, end in zip(edges[:-1], edges[1:]):
+                cell = frame.iloc[start:end]
+                top, able = _open_pairs(cell, threshold)
+                if able.any():
+                    found.append(cell[np.concatenate([able.any(1), able.any(0)])])
+            if found:
+                yield pd.concat(found)[["g", "node", "held"]]
+
+    cells = _cells(rows, SKETCH_CELL, False)
+    return _in_cells(cells, run, "g long, node long, held boolean").distinct()
+
+
+def _confirmed(rows: DataFrame, texts: DataFrame, words: int, threshold: int) -> DataFrame:
+    """Links (a, b) between components of the groups' rows, by their full sets.
+
+    Enough of them to connect what is linked within each cell, not all.
     """
-    named = materialize(links.label(members, "node", "part"))
-    parts = named.groupBy("bucket", "part").agg(F.count("*").alias("count"))
-    largest = F.max(F.struct("count", "part"))
-    mixed = parts.groupBy("bucket").agg(
-        largest["part"].alias("main"),
-        (F.sum("count") - largest["count"]).alias("minors"),
-    )
-    found = named.join(materialize(mixed.where("minors > 0")), "bucket")
-    return materialize(found.withColumn("minor", F.col("part") != F.col("main")).drop("main"))
 
+    def run(cells: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in cells:
+            edges, found = group_bounds(frame, ["g", "i", "j"]), []
+            for start, end in zip(edges[:-1], edges[1:]):
+                found += _links(frame.iloc[start:end], words, threshold)
+            yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    cells = _cells(rows, SET_CELL, True).join(texts, "node")
+    return _in_cells(cells, run, "a long, b long")
+
+
+def _links(cell: pd.DataFrame, words: int, threshold: int) -> list[tuple[int, int]]:
+    top, able = _open_pairs(cell, threshold)
+    if not able.any():
+        return []
+    node, part, text = (cell[c].to_numpy() for c in ("node", "part", "text"))
+    held = {x: shingles(text[x], words) for x in np.flatnonzero(able.any(1))}
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = parent.get(up, up)
+            x = parent[x]
+        return x
+
+    found = []
+    for y in np.flatnonzero(able.any(0)):
+        other = shingles(text[top + y], words)
+        for x in np.flatnonzero(able[:, y]):
+            a, b = root(part[x]), root(part[top + y])
+            if a == b:
+                continue
+            one = held[x]
+            both = len(np.intersect1d(one, other, assume_unique=True))
+            if 100 * both >= threshold * (len(one) + len(other) - both):
+                parent[max(a, b)] = min(a, b)
+                found.append((int(node[x]), int(node[top + y])))
+    return found
+
+
+def _classes(signed: DataFrame) -> DataFrame:
+    """A row per distinct set: a number, its smallest document and where its text is."""
+    return (
+        signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
+        .groupBy("set_key")
+        .agg(
+            F.min(F.struct("doc_id", "text_key")).alias("least"),
+            F.first("n_shingles").alias("n"),
+            F.first("sketch").alias("sketch"),
+            F.first("bands").alias("bands"),
+        )
+        .select(
+            F.monotonically_increasing_id().alias("node"), "set_key", "least.*", "n", "bands",
+            *(F.col("sketch")[i].alias(f"s{i}") for i in range(WORDS)),
+        )
+    )
 
-def _round(left: DataFrame, links: _Links) -> DataFrame:
-    """Compare each bucket's most central member with its other components.
 
-    Returns the members without the one that has been compared.
-    """
-    hub = left.groupBy("bucket").agg(
-        F.max(F.struct("degree", "node", "part", *_SKETCH)).alias("r")
+def _same_document(signed: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between classes that share a doc_id, whose rows have several texts."""
+    several = (
+        signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
+        .groupBy("doc_id")
+        .agg(F.min("set_key").alias("low"), F.max("set_key").alias("high"))
+        .where("low != high")
     )
-    names = ("node", "part", *_SKETCH)
-    hub = materialize(hub.select("bucket", *(F.col(f"r.{c}").alias(f"r_{c}") for c in names)))
-    met = left.join(hub, "bucket").where(F.col("node") != F.col("r_node"))
-    near = met.where((F.col("part") != F.col("r_part")) & _close("", "r_", links.threshold))
-    links.add(
-        near.select(F.least("node", "r_node").alias("a"), F.greatest("node", "r_node").alias("b"))
+    first = several.join(classes.select(F.col("set_key").alias("low"), F.col("node").alias("a")), "low")
+    own = signed.select("doc_id", "set_key").join(classes.select("set_key", F.col("node").alias("b")), "set_key")
+    return first.select("doc_id", "a").join(own.select("doc_id", "b"), "doc_id").where("a != b").select("a", "b")
+
+
+def _class_components(
+    signed: DataFrame, classes: DataFrame, docs: DataFrame, words: int, threshold: int, tables: Tables
+) -> DataFrame:
+    """The component (id, component) of every class that has a link."""
+    same = tables.write(_same_document(signed, classes))
+    banded = classes.select(F.posexplode("bands").alias("band", "bucket"), "node")
+    sizes = tables.write(banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"))
+    shared = tables.write(banded.join(sizes, "bucket").select("bucket", "node", "size"))
+    degrees = shared.groupBy("node").agg(F.sum("size").alias("degree"))
+    central = tables.write(
+        classes.join(degrees, "node").select("node", "doc_id", "text_key", "degree", *_SKETCH)
     )
-    return met.select("bucket", "last", "node", "degree", *_SKETCH)
-
-
-def _few(left: DataFrame, links: _Links) -> None:
-    """Compare the few members outside the largest component with all others."""
-    other = left.where("minor").select(
-        "bucket", *(F.col(c).alias(f"o_{c}") for c in ("node", "part", *_SKETCH))
+    texts = tables.write(
+        keyed_texts(docs)
+        .join(central.select("doc_id", "text_key", "node"), ["doc_id", "text_key"])
+        .select("node", "text")
+        .dropDuplicates(["node"])
     )
-    near = left.join(other, "bucket").where(
-        (F.col("part") != F.col("o_part"))
-        & (~F.col("minor") | (F.col("node") < F.col("o_node")))
-        & _close("", "o_", links.threshold)
+    members = tables.write(shared.join(central.select("node", "degree", *_SKETCH), "node").drop("size"))
+    tables.free(sizes, shared)
+    hub = members.groupBy("bucket").agg(F.max(F.struct("degree", "node", *_SKETCH)).alias("r"))
+    hub = hub.select("bucket", *(F.col(f"r.{c}").alias(f"r_{c}") for c in ("node", *_SKETCH)))
+    met = members.join(hub, "bucket").where((F.col("node") != F.col("r_node")) & _close("", "r_", threshold))
+    nearest = F.min(F.struct(_bits("", "r_").alias("bits"), "r_node"))
+    tried = tables.write(met.groupBy("node").agg(nearest["r_node"].alias("hub")))
+    plain = central.select("node", *_SKETCH)
+    passing = tried.select(F.col("hub").alias("g"), "node", F.lit(False).alias("held"))
+    holding = tried.select(F.col("hub").alias("g"), F.col("hub").alias("node"), F.lit(True).alias("held"))
+    rows = passing.union(holding.distinct()).join(plain, "node").select(
+        "*", F.col("node").alias("part"), F.lit(-1).cast("long").alias("hub"), F.lit(False).alias("outside")
     )
-    links.add(
-        near.select(F.least("node", "o_node").alias("a"), F.greatest("node", "o_node").alias("b"))
+    found = tables.write(_confirmed(rows, texts, words, threshold))
+    known = tables.write(components(same.union(found)))
+
+    # what is left: buckets of several components, by their largest one
+    parted = tables.write(
+        members.drop("degree")
+        .join(known.select(F.col("id").alias("node"), "component"), "node", "left")
+        .withColumn("part", F.coalesce("component", "node"))
+        .drop("component")
     )
-
-
-def _cut(left: DataFrame, classes: DataFrame) -> DataFrame:
-    """The members again, in buckets that share a further band as well."""
-    further = left.join(
-        classes.select("node", F.posexplode("bands").alias("next", "band")), "node"
-    ).where(F.col("next") > F.col("last"))
-    return _shared(
-        further.select(
-            F.xxhash64("bucket", "band").alias("bucket"),
-            F.col("next").alias("last"),
-            "node",
-            "degree",
-            *_SKETCH,
-        )
+    parts = parted.groupBy("bucket", "part").agg(F.count("*").alias("count"))
+    mixed = parts.groupBy("bucket").agg(
+        F.max(F.struct("count", "part"))["part"].alias("g"), F.count("*").alias("several")
+    )
+    group = (
+        parted.join(mixed.where("several > 1").select("bucket", "g"), "bucket")
+        .drop("bucket")
+        .dropDuplicates(["g", "node"])
+        .join(tried, "node", "left")
+        .withColumn("hub", F.coalesce("hub", F.lit(-1)))
+        .withColumn("outside", F.col("part") != F.col("g"))
+    )
+    group = tables.write(group)
+    tables.free(members, parted)
+    every = group.withColumn("held", F.lit(False)).union(
+        group.where("outside").withColumn("held", F.lit(True))
     )
+    marked = tables.write(_candidates(every, threshold))
+    left = tables.write(_confirmed(marked.join(group, ["g", "node"]), texts, words, threshold))
+    tables.free(group, marked, texts)
+    edges = known.select(F.col("id").alias("a"), F.col("component").alias("b")).union(left)
+    return tables.write(components(edges))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = 80) -> DataFrame:
@@ -323,58 +423,28 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = 80) -> Dat
     links: its component is null and it is kept. Rows that share a doc_id count
     as one document, which links what each of its texts links with. An empty
     table gives an empty result.
+
+    Runs jobs; intermediate tables are deleted once they have been read.
     """
     python_tasks(docs.sparkSession)
-    signed = materialize(signatures(docs, words))
-    classes = materialize(
-        signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-        .groupBy("set_key")
-        .agg(
-            F.min("doc_id").alias("node"),
-            F.first("n_shingles").alias("n"),
-            F.first("sketch").alias("sketch"),
-            F.first("bands").alias("bands"),
-        )
-        .select(
-            "set_key", "node", "n", "bands",
-            *(F.col("sketch")[i].alias(f"s{i}") for i in range(WORDS)),
-        )
-    )
-    banded = classes.select(F.posexplode("bands").alias("last", "bucket"), "node")
-    shared = materialize(_shared(banded))
-    sizes = materialize(shared.groupBy("bucket").agg(F.count("*").alias("size")))
-    degrees = shared.join(sizes, "bucket").groupBy("node").agg(F.sum("size").alias("degree"))
-    central = materialize(degrees.join(classes.select("node", *_SKETCH), "node"))
-    members = materialize(shared.join(central, "node"))
-    texts = materialize(
-        texts_of(docs)
-        .withColumnRenamed("doc_id", "node")
-        .join(central.select("node"), "node")
-        .dropDuplicates(["node"])
-    )
-    links = _Links(texts, words, threshold)
-    left = _mixed(members, links)
-    for cut in range(CUTS + 1):
-        for _ in range(ROUNDS):
-            if left.isEmpty():
-                break
-            left = _mixed(_round(left, links), links)
-        if left.isEmpty():
-            break
-        _few(left.where(f"minors <= {FEW}"), links)
-        left = _mixed(left.where(f"minors > {FEW}").select(*members.columns), links)
-        if cut < CUTS and not left.isEmpty():
-            left = _mixed(_cut(left, classes), links)
-    while not left.isEmpty():
-        left = _mixed(_round(left, links), links)
-    own = links.label(classes.select("set_key", "node"), "node", "component_id")
-    named = signed.select("doc_id", "n_shingles", "set_key").join(
-        materialize(own).select("set_key", "component_id"), "set_key", "left"
+    tables = Tables(docs.sparkSession)
+    signed = tables.write(signatures(docs, words))
+    classes = tables.write(_classes(signed))
+    known = _class_components(signed, classes, docs, words, threshold, tables)
+    own = classes.select("set_key", "node", "doc_id").join(
+        known.withColumnRenamed("id", "node"), "node", "left"
     )
-    component = F.when(
-        F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")
+    own = tables.write(own.select("set_key", "doc_id", F.coalesce("component", "node").alias("part")))
+    least = own.groupBy("part").agg(F.min("doc_id").alias("component_id"))
+    named = own.join(least, "part").select("set_key", "component_id")
+    found = tables.write(
+        signed.select("doc_id", "n_shingles", "set_key")
+        .join(named, "set_key", "left")
+        .select("doc_id", "n_shingles", "component_id")
     )
-    return named.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+    tables.keep(found)
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    return found.withColumn("component_id", component).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     )
 
@@ -382,11 +452,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = 80) -> Dat
 def deduplicate(docs: DataFrame, words: int = 5, threshold: int = 80) -> DataFrame:
     """The rows of ``docs``, one document of each group of near-duplicates.
 
-    The smallest doc_id of a group stays, once if its row repeats. Rows without
-    doc_id all stay.
+    The smallest doc_id of a group stays, with each of its texts; rows that share
+    doc_id and text come once. Rows without doc_id all stay.
     """
     found = near_duplicates(docs, words, threshold)
-    kept = materialize(
+    tables = Tables(docs.sparkSession)
+    kept = tables.write(
         found.where("kept AND doc_id IS NOT NULL")
         .groupBy(F.col("doc_id").alias("_kept_id"))
         .agg(F.count("*").alias("_rows"))
@@ -394,5 +465,6 @@ def deduplicate(docs: DataFrame, words: int = 5, threshold: int = 80) -> DataFra
     unnamed = docs.where(F.col("doc_id").isNull())
     rows = docs.join(kept, F.col("doc_id").cast("long") == F.col("_kept_id"), "left_semi")
     if not kept.where("_rows > 1").isEmpty():
-        rows = rows.dropDuplicates(["doc_id"])
+        text = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+        rows = rows.withColumn("_text", text).dropDuplicates(["doc_id", "_text"]).drop("_text")
     return rows.unionByName(unnamed)

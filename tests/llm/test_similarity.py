@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import os
 import re
 
 import numpy as np
@@ -68,9 +69,8 @@ def _texts():
 
 @pytest.mark.parametrize("words", [2, 5])
 def test_near_duplicates_equal_brute_force(spark, words, monkeypatch):
-    monkeypatch.setattr(neardup, "FEW", 3)  # so that crowded buckets are cut too
-    monkeypatch.setattr(neardup, "CUTS", 1)
-    monkeypatch.setattr(neardup, "ROUNDS", 1)
+    monkeypatch.setattr(neardup, "SKETCH_CELL", (3, 7))  # so that groups have many cells
+    monkeypatch.setattr(neardup, "SET_CELL", (2, 5))
     rows = [r for r in _texts() if r[0] is not None][:-1]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_shingles string").repartition(5)
     sets = {k: _set(t, words) for k, t, _ in rows}
@@ -99,6 +99,26 @@ def test_near_duplicates_of_odd_rows(spark):
     assert kept == [(0, "x"), (4, "y")]
 
 
+def test_rows_of_one_document_link_by_each_text(spark):
+    first, second = "one two three four five six", "red blue green grey white black pink"
+    rows = [(1, first), (1, second), (2, first + " seven"), (3, second + " gold"), (4, "none of these words")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.component_id, r.kept) for r in neardup.near_duplicates(df, 2).collect()}
+    assert got == {(1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True)}
+    kept = neardup.deduplicate(df.union(df), 2).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(1, first), (1, second), (4, rows[4][1])]
+
+
+def test_intermediate_tables_are_deleted(spark):
+    from basketry.session import shared_dir
+
+    folder = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    df = spark.createDataFrame([(i, f"a b c d {i % 3}") for i in range(30)], "doc_id long, text string")
+    assert neardup.near_duplicates(df, 2).count() == 30
+    assert len(set(os.listdir(folder)) - before) <= 6
+
+
 def test_sketches_estimate_how_many_samples_differ():
     random = np.random.default_rng(0)
     least = random.integers(0, 1 << 32, neardup.SAMPLES, np.uint64).astype(np.uint32)
