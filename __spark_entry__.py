@@ -43,7 +43,7 @@ from basketry.operators import (
     similar,
 )
 from basketry import schemas as S
-from basketry.plans import ingest
+from basketry.plans import ingest, registered
 from basketry.session import materialize, named_shared_dir, shared_dir
 from basketry.sources.catalog import Catalog
 from basketry.sources.sink import write_table
@@ -1508,7 +1508,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _own_queries() -> dict[str, tuple[Query, str | None]]:
-    return dict(_REGISTERED)
+    return {**_REGISTERED, **registered.REGISTERED}
 
 
 def _all_queries() -> dict[str, tuple[Query, str | None]]:
