@@ -43,7 +43,7 @@ from basketry.operators import (
     similar,
 )
 from basketry import schemas as S
-from basketry.plans import ingest, registered
+from basketry.plans import ingest, registered, report
 from basketry.session import materialize, named_shared_dir, shared_dir
 from basketry.sources.catalog import Catalog
 from basketry.sources.sink import write_table
@@ -606,8 +606,8 @@ def group_sum_sql(spark, sf_dir):
     return Catalog(spark, folder).query(
         f"""
         SELECT p.p_type AS department, CAST(SUM(i.l_quantity) AS BIGINT) AS total_sales
-        FROM '{folder}/lineitem.parquet' i
-        JOIN '{folder}/part.parquet' p ON i.l_partkey = p.p_partkey
+        FROM parquet.`{folder}/lineitem.parquet` i
+        JOIN parquet.`{folder}/part.parquet` p ON i.l_partkey = p.p_partkey
         GROUP BY 1 ORDER BY 2 DESC
         """
     )
@@ -697,6 +697,21 @@ def segments_kmeans_checks(spark, sf_dir):
     )
 
 
+@_register("""
+    SELECT count(DISTINCT o_custkey) AS n_customers, true AS best_is_taken, 5::BIGINT AS n_tried FROM orders
+""")
+def segments_chosen(spark, sf_dir):
+    """Facts of the segmentation whose number of segments has the best silhouette."""
+    table = materialize(_rfm(spark, sf_dir))
+    model, found = segments.choose_segments(table)
+    assigned = segments.assign_segments(model, table)
+    best = max(found.values())
+    own = len(model.stages[-1].clusterCenters())
+    return assigned.agg(F.count_distinct("user_id").alias("n_customers")).withColumns(
+        {"best_is_taken": F.lit(found[own] == best), "n_tried": F.lit(len(found)).cast("long")}
+    )
+
+
 def _numbered_orders(spark, sf_dir):
     return ranking.with_number_in_group(
         _orders(spark, sf_dir).select("order_id", "user_id", "order_date"),
@@ -750,17 +765,12 @@ _NUMBERED_SQL = """
 """
 
 
-def _half_known_items(spark, sf_dir):
-    """Order lines without those of orders whose key is even: their content is unknown."""
-    return _brand_items(spark, sf_dir).where(F.col("order_id") % 2 == 1)
-
-
 @_register(f"""
     WITH numbered AS ({_NUMBERED_SQL}),
          lines AS (
              SELECT user_id, p_brand AS product_id, o_orderkey, num, last
              FROM lineitem JOIN part ON l_partkey = p_partkey
-             JOIN numbered ON l_orderkey = o_orderkey WHERE o_orderkey % 2 = 1),
+             JOIN numbered ON l_orderkey = o_orderkey),
          known AS (SELECT user_id, bool_or(num = last) AS told FROM lines GROUP BY 1),
          bought AS (
              SELECT user_id, product_id, max((num = last)::INT) AS again
@@ -769,10 +779,8 @@ def _half_known_items(spark, sf_dir):
     FROM bought JOIN known USING (user_id) GROUP BY 1
 """)
 def reorder_labels(spark, sf_dir):
-    """Labels where some customers' last order has no lines: those have none."""
-    features = reorder.reorder_features(
-        _numbered_orders(spark, sf_dir), _half_known_items(spark, sf_dir)
-    )
+    """How many pairs come back, or do not, or have a last order without lines."""
+    features = reorder.reorder_features(_numbered_orders(spark, sf_dir), _brand_items(spark, sf_dir))
     return features.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -781,7 +789,7 @@ def reorder_labels(spark, sf_dir):
          lines AS (
              SELECT user_id, p_brand AS product_id, num, last
              FROM lineitem JOIN part ON l_partkey = p_partkey
-             JOIN numbered ON l_orderkey = o_orderkey WHERE o_orderkey % 2 = 1),
+             JOIN numbered ON l_orderkey = o_orderkey),
          done AS (SELECT user_id, CASE WHEN bool_or(num = last) THEN max(last)
                                        ELSE max(last) - 1 END AS n_orders
                   FROM lines GROUP BY 1)
@@ -792,7 +800,7 @@ def reorder_labels(spark, sf_dir):
 """)
 def next_order_features(spark, sf_dir):
     features = reorder.next_order_features(
-        _numbered_orders(spark, sf_dir), _half_known_items(spark, sf_dir)
+        _numbered_orders(spark, sf_dir), _brand_items(spark, sf_dir)
     )
     return _rounded(features, order_share=6)
 
@@ -832,6 +840,43 @@ def reorder_model_checks(spark, sf_dir):
     ).withColumn("beats_chance", F.lit(area > 0.5))
 
 
+@_register(f"""
+    WITH numbered AS ({_NUMBERED_SQL}),
+         lines AS (SELECT DISTINCT user_id, p_brand AS product_id
+                   FROM lineitem JOIN part ON l_partkey = p_partkey
+                   JOIN numbered ON l_orderkey = o_orderkey)
+    SELECT count(*) AS n_rows, count(DISTINCT user_id) AS n_users, true AS in_range,
+           true AS calibrated, true AS not_below_logistic FROM lines
+""")
+def reorder_trees_checks(spark, sf_dir):
+    """Facts of the boosted trees: a probability per pair, whose mean on held-out
+    customers is near their rate; they rank these no worse than the logistic model
+    (within 0.02 of its area, which is what chance moves it by)."""
+    orders, items = _numbered_orders(spark, sf_dir), _brand_items(spark, sf_dir)
+    features = materialize(reorder.reorder_features(orders, items))
+    fits, tests = reorder.split_customers(features)
+    trees, line = reorder.fit_reorder_trees(fits), reorder.fit_reorder_model(fits)
+    area = reorder.area_under_roc(trees.trees.transform(tests))
+    least = reorder.area_under_roc(line.transform(tests)) - 0.02
+    told, real = trees.score(tests).agg(F.avg("reorder_probability"), F.avg("label")).first()
+    scored = trees.score(reorder.next_order_features(orders, items))
+    return scored.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("user_id").alias("n_users"),
+        F.bool_and(F.col("reorder_probability").between(0, 1)).alias("in_range"),
+    ).withColumns(
+        {"calibrated": F.lit(abs(told - real) < 0.1), "not_below_logistic": F.lit(area >= least)}
+    )
+
+
+@_register()
+def reorder_trees(spark, sf_dir):
+    """Calibrated probabilities of the boosted trees for every customer's next order."""
+    orders, items = _numbered_orders(spark, sf_dir), _brand_items(spark, sf_dir)
+    fits, _ = reorder.split_customers(materialize(reorder.reorder_features(orders, items)))
+    return reorder.fit_reorder_trees(fits).score(reorder.next_order_features(orders, items))
+
+
 # --- prices -------------------------------------------------------------------------
 _POINTS_SQL = """
     SELECT {keys}, ln(sum(l_quantity)) AS q,
@@ -946,20 +991,28 @@ def substitutes(spark, sf_dir):
 
 
 # --- demand -------------------------------------------------------------------------
-def _forecast(spark, sf_dir, keys, **params):
-    """The forecast of the next 28 days; the model has the declared defaults."""
+# application and folder -> fitted model, so that queries of one session share a fit
+_FORECASTERS: dict[tuple[str, str], object] = {}
+
+
+def _department_forecast(spark, sf_dir):
+    """The forecast of departments for the next 28 days; the model has the declared defaults.
+
+    Fitting its 400 trees takes minutes, so a session fits it once per folder.
+    """
+    keys = ["department"]
     last = series.last_day(_sales(spark, sf_dir))
     daily = series.daily_totals(_by_product(spark, sf_dir), keys)
-    frame = materialize(forecast.training_frame(daily, keys, last))
-    train, _ = series.time_split(frame, last)
-    model = forecast.fit_forecaster(train, **params)
-    future = forecast.future_frame(daily, keys, last)
-    return forecast.forecast(model, future, keys)
+    name = (spark.sparkContext.applicationId, sf_dir)
+    if name not in _FORECASTERS:
+        train, _ = series.time_split(forecast.training_frame(daily, keys, last), last)
+        _FORECASTERS[name] = forecast.fit_forecaster(forecast.stored_frame(train))
+    return forecast.forecast(_FORECASTERS[name], forecast.future_frame(daily, keys, last), keys)
 
 
 @_register()
 def demand_forecast(spark, sf_dir):
-    return _rounded(_forecast(spark, sf_dir, ["department"]), forecast=4)
+    return _rounded(_department_forecast(spark, sf_dir), forecast=4)
 
 
 @_register("""
@@ -988,12 +1041,8 @@ def baseline_days(spark, sf_dir):
     FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1
 """)
 def forecast_days(spark, sf_dir):
-    """The forecast has all 28 days of every series, whatever the model.
-
-    Its rows do not depend on the trees, so this one has few; ``demand_forecast``
-    has the declared ones.
-    """
-    ahead = _forecast(spark, sf_dir, ["department"], maxIter=5)
+    """The forecast has all 28 days of every series."""
+    ahead = _department_forecast(spark, sf_dir)
     return ahead.groupBy("department").agg(
         F.count(F.lit(1)).alias("n_days"),
         F.count_distinct("date").alias("n_distinct"),
@@ -1048,21 +1097,52 @@ def stockout_risk(spark, sf_dir):
 
 
 @_register("""
-    WITH demand AS (
-        SELECT l_partkey AS product_id, sum(l_quantity) AS demand FROM lineitem
-        WHERE l_shipdate::DATE > (SELECT max(l_shipdate)::DATE - 28 FROM lineitem)
-        GROUP BY 1)
-    SELECT product_id, demand, 0 AS on_hand, demand AS shortfall FROM demand
+    WITH recent AS (SELECT l_partkey AS product_id, l_quantity, l_returnflag FROM lineitem
+                    WHERE l_shipdate::DATE > (SELECT max(l_shipdate)::DATE - 28 FROM lineitem)),
+         demand AS (SELECT product_id, sum(l_quantity) AS demand,
+                           coalesce(sum(l_quantity) FILTER (l_returnflag = 'R'), 0) AS on_hand
+                    FROM recent GROUP BY 1)
+    SELECT product_id, demand, on_hand, demand - on_hand AS shortfall FROM demand WHERE demand > on_hand
 """)
 def stockout_unknown_stock(spark, sf_dir):
-    """Products whose stock is not known count as having none."""
+    """With recent returns as the stock: products without one count as having none."""
     sales = _sales(spark, sf_dir).withColumnRenamed("item_id", "product_id")
-    daily = series.daily_totals(sales, ["product_id"])
-    ahead = forecast.seasonal_naive(daily, ["product_id"], series.last_day(sales))
-    none = _table(spark, sf_dir, "part").where("p_partkey < 0").select(
-        F.col("p_partkey").alias("product_id"), F.col("p_size").alias("on_hand")
+    daily, last = series.daily_totals(sales, ["product_id"]), series.last_day(sales)
+    ahead = forecast.seasonal_naive(daily, ["product_id"], last)
+    returned = _table(spark, sf_dir, "lineitem").where(
+        (F.col("l_returnflag") == "R") & (F.to_date("l_shipdate") > F.date_sub(last, 28))
     )
-    return forecast.stockout_risk(ahead, none, ["product_id"])
+    stock = returned.groupBy(F.col("l_partkey").alias("product_id")).agg(F.sum("l_quantity").alias("on_hand"))
+    return forecast.stockout_risk(ahead, stock, ["product_id"])
+
+
+def _department_stock(spark, sf_dir):
+    parts = _table(spark, sf_dir, "part").groupBy(F.col("p_type").alias("department"))
+    return parts.agg(F.sum("p_size").alias("on_hand"))
+
+
+@_register()
+def stockout_forecast(spark, sf_dir):
+    """Departments whose forecast demand of 28 days exceeds what is on hand."""
+    ahead = _department_forecast(spark, sf_dir)
+    risky = forecast.stockout_risk(ahead, _department_stock(spark, sf_dir), ["department"])
+    return _rounded(risky, demand=4, shortfall=4)
+
+
+@_register("""
+    SELECT p_type AS department, sum(p_size)::BIGINT AS on_hand, true AS agrees
+    FROM part WHERE p_type IN (SELECT p_type FROM part JOIN lineitem ON l_partkey = p_partkey) GROUP BY 1
+""")
+def stockout_forecast_checks(spark, sf_dir):
+    """Facts: a department is at risk exactly if its forecast exceeds its stock, by as much."""
+    ahead = materialize(_department_forecast(spark, sf_dir))
+    stock = _department_stock(spark, sf_dir)
+    risky = forecast.stockout_risk(ahead, stock, ["department"])
+    sums = ahead.groupBy("department").agg(F.sum("forecast").alias("sum")).join(stock, "department")
+    both = sums.join(risky.select("department", "shortfall"), "department", "left")
+    short = F.when(F.col("sum") > F.col("on_hand"), F.col("sum") - F.col("on_hand"))
+    agrees = F.coalesce(F.abs(short - F.col("shortfall")) < 1e-6, short.isNull() & F.col("shortfall").isNull())
+    return both.select("department", "on_hand", agrees.alias("agrees"))
 
 
 # --- raw files: the given tables written as text, then built into tables ---------------
@@ -1167,6 +1247,13 @@ def ingest_order_items(spark, sf_dir):
 """)
 def ingest_sales(spark, sf_dir):
     folder = _raw_folder(spark)
+    paths = f"{folder}/sales.csv", f"{folder}/calendar.csv"
+    _write_raw_sales(spark, sf_dir, *paths)
+    return ingest.build_daily_sales(spark, *paths)
+
+
+def _write_raw_sales(spark, sf_dir, sales_path, calendar_path):
+    """Sales by day of the month as a wide file, and the calendar of these days."""
     numbers = list(range(1, 32))
     by_day = (
         _sales(spark, sf_dir)
@@ -1202,11 +1289,8 @@ def ingest_sales(spark, sf_dir):
             (number % 2).alias("snap_CA"),
         )
     )
-    return ingest.build_daily_sales(
-        spark,
-        _write_text(wide, f"{folder}/sales.csv"),
-        _write_text(calendar, f"{folder}/calendar.csv"),
-    )
+    _write_text(wide, sales_path)
+    _write_text(calendar, calendar_path)
 
 
 @_register("""
@@ -1216,12 +1300,27 @@ def ingest_sales(spark, sf_dir):
     FROM documents WHERE source ILIKE '%src1%' AND text IS NOT NULL AND lang IS NOT NULL
 """)
 def ingest_catalogue(spark, sf_dir):
+    path = f"{_raw_folder(spark)}/catalogue.csv"
+    _write_raw_catalogue(spark, sf_dir, path, F.col("source"))
+    built = ingest.build_catalogue(spark, path, country="SRC1")
+    name = F.col("product_name")
+    return built.select(
+        "code",
+        F.md5(name).alias("name_md5"),
+        F.length(name).alias("name_length"),
+        "countries_en",
+        "categories_en",
+        "fat_100g",
+    )
+
+
+def _write_raw_catalogue(spark, sf_dir, path, countries):
     documents = _table(spark, sf_dir, "documents")
     known = {
         "code": F.lpad(F.col("doc_id").cast("string"), 13, "0"),
         "product_name": F.col("text"),
         "categories_en": F.col("lang"),
-        "countries_en": F.col("source"),
+        "countries_en": countries,
         "fat_100g": F.col("n_chars"),
     }
     raw = documents.select(
@@ -1231,18 +1330,7 @@ def ingest_catalogue(spark, sf_dir):
             for n in S.CATALOGUE_SCHEMA.names
         ],
     )
-    path = f"{_raw_folder(spark)}/catalogue.csv"
     _write_text(raw, path, sep="\t", compression="gzip")
-    built = ingest.build_catalogue(spark, path, country="SRC1")
-    name = F.col("product_name")
-    return built.select(
-        "code",
-        F.md5(name).alias("name_md5"),
-        F.length(name).alias("name_length"),
-        "countries_en",
-        "categories_en",
-        "fat_100g",
-    )
 
 
 # --- stored tables: written from the given ones, then loaded with filters --------------
@@ -1344,13 +1432,13 @@ def sql_by_name(spark, sf_dir):
     FROM lineitem, part WHERE l_partkey = p_partkey GROUP BY 1
 """)
 def sql_path_list(spark, sf_dir):
-    """A comma list of quoted paths, and a literal that looks like one."""
+    """A comma list of paths, and a literal that looks like one."""
     folder = sf_dir.rstrip("/")
     return Catalog(spark, folder).query(
         f"""
         SELECT p_type AS department, count(*) AS n_lines,
                'part.parquet' AS note
-        FROM '{folder}/lineitem.parquet', '{folder}/part.parquet'
+        FROM parquet.`{folder}/lineitem.parquet`, parquet.`{folder}/part.parquet`
         WHERE l_partkey = p_partkey GROUP BY p_type
         """
     )
@@ -1451,15 +1539,9 @@ def similar_filtered(spark, sf_dir):
     return _rounded(found, similarity=5)
 
 
-@_register("""
-    SELECT 'orders' AS table_name, count(*) AS n_rows FROM orders
-    UNION ALL SELECT 'order_items', count(*) FROM lineitem
-    UNION ALL SELECT 'products', count(*) FROM part
-""")
-def job_row_counts(spark, sf_dir):
-    """The job that builds the order tables from raw files, and its row counts."""
-    root = _raw_folder(spark)
-    raw, sources = f"{root}/raw", dict.fromkeys(S.RAW_ORDER_ITEMS)
+def _write_raw_orders(spark, sf_dir, raw):
+    """Orders, products, name tables and both files of lines as raw text files."""
+    sources = S.RAW_ORDER_ITEMS
     orders = _orders(spark, sf_dir).select(
         "order_id", "user_id", F.lit("prior").alias("eval_set"),
         F.lit(1).alias("order_number"), F.lit(0).alias("order_dow"),
@@ -1478,10 +1560,121 @@ def job_row_counts(spark, sf_dir):
     items = _items(spark, sf_dir).select("order_id", "product_id", "add_to_cart_order", "reordered")
     for number, name in enumerate(sources):
         _write_text(items.where(F.col("order_id") % 2 == number), f"{raw}/{name}")
+    return raw
+
+
+@_register("""
+    SELECT 'orders' AS table_name, count(*) AS n_rows FROM orders
+    UNION ALL SELECT 'order_items', count(*) FROM lineitem
+    UNION ALL SELECT 'products', count(*) FROM part
+""")
+def job_row_counts(spark, sf_dir):
+    """The job that builds the order tables from raw files, and its row counts."""
+    root = _raw_folder(spark)
+    raw = _write_raw_orders(spark, sf_dir, f"{root}/raw")
     counts = ingest.run(spark, raw, f"{root}/out", "instacart")
     return spark.createDataFrame(list(counts.items()), "table_name string, n_rows long")
 
 
+@_register("""
+    SELECT 'load_orders' AS loader, count(*) AS n_rows, NULL::VARCHAR AS error FROM orders
+    UNION ALL SELECT 'load_products', count(*), NULL FROM part
+    UNION ALL SELECT 'load_order_items', count(*), NULL FROM lineitem
+    UNION ALL SELECT 'load_m5_sales', NULL, 'FileNotFoundError: preprocess_data'
+    UNION ALL SELECT 'load_off_products', NULL, 'FileNotFoundError: preprocess_data'
+""")
+def missing_tables(spark, sf_dir):
+    """Each loader on a folder with three of the tables; the others name the step to run."""
+    stored, rows = _stored_tables(spark, sf_dir), []
+    for loader in ("load_orders", "load_products", "load_order_items", "load_m5_sales", "load_off_products"):
+        try:
+            rows.append((loader, getattr(stored, loader)().count(), None))
+        except FileNotFoundError as error:
+            step = "preprocess_data" if "preprocess_data" in str(error) else str(error)
+            rows.append((loader, None, f"FileNotFoundError: {step}"))
+    return spark.createDataFrame(rows, "loader string, n_rows long, error string")
+
+
+@_register("""
+    SELECT 'orders' AS table_name, count(*) AS n_rows FROM orders
+    UNION ALL SELECT 'order_items', count(*) FROM lineitem
+    UNION ALL SELECT 'products', count(*) FROM part
+    UNION ALL SELECT 'm5_sales', count(*) FROM (
+        SELECT DISTINCT l_partkey, day(l_shipdate) FROM lineitem WHERE l_quantity > 0)
+    UNION ALL SELECT 'sell_prices', NULL
+    UNION ALL SELECT 'off_products', count(*) FROM documents
+    WHERE source ILIKE '%src1%' AND text IS NOT NULL AND lang IS NOT NULL
+""")
+def job_all_tables(spark, sf_dir):
+    """The whole job over raw files of all datasets; one optional file is not there."""
+    root = _raw_folder(spark)
+    raw = _write_raw_orders(spark, sf_dir, f"{root}/raw")
+    _write_raw_sales(spark, sf_dir, f"{raw}/{S.RAW_SALES}", f"{raw}/{S.RAW_CALENDAR}")
+    countries = F.regexp_replace("source", "src1", "Australia")
+    _write_raw_catalogue(spark, sf_dir, f"{raw}/{S.RAW_CATALOGUE}", countries)
+    counts = ingest.run(spark, raw, f"{root}/out", "all")
+    return spark.createDataFrame(list(counts.items()), "table_name string, n_rows long")
+
+
+@_register("""
+    SELECT count(*) AS n_rows, true AS same_twice, true AS same_with_empty_filter,
+           true AS other_filter_is_other, true AS new_after_clear FROM orders
+""")
+def remembered_tables(spark, sf_dir):
+    """Facts of the loaders' memory: a table per set of arguments until it is cleared."""
+    stored = _stored_tables(spark, sf_dir)
+    sales = _sales(spark, sf_dir).withColumns({"cat_id": F.lit("FOODS"), "day": F.lit("d_1")})
+    write_table(sales, stored.path(S.DAILY_SALES))
+    first, foods = stored.load_orders(), stored.load_m5_sales("FOODS")
+    facts = {
+        "same_twice": stored.load_orders() is first,
+        "same_with_empty_filter": stored.load_m5_sales("FOODS", "") is foods,
+        "other_filter_is_other": stored.load_m5_sales() is not foods,
+    }
+    stored.cache_clear("orders")
+    facts["new_after_clear"] = stored.load_orders() is not first and stored.load_m5_sales("FOODS") is foods
+    counted = first.agg(F.count(F.lit(1)).alias("n_rows"))
+    return counted.withColumns({name: F.lit(fact) for name, fact in facts.items()})
+
+
+@_register("""
+    WITH t AS (SELECT p_type AS department, count(*) AS n_items FROM lineitem
+               JOIN part ON l_partkey = p_partkey GROUP BY 1),
+         w AS (SELECT greatest(length('department'), max(length(department))) AS a,
+                      greatest(length('n_items'), max(length(n_items::VARCHAR))) AS b FROM t)
+    SELECT 0 AS line_number, lpad('department', a::INT, ' ') || ' ' || lpad('n_items', b::INT, ' ') AS line FROM w
+    UNION ALL
+    SELECT row_number() OVER (ORDER BY n_items DESC, department),
+           lpad(department, a::INT, ' ') || ' ' || lpad(n_items::VARCHAR, b::INT, ' ') FROM t, w
+""")
+def printed_table(spark, sf_dir):
+    """A result as aligned lines of text, the header first."""
+    items = _items(spark, sf_dir).join(_products(spark, sf_dir), "product_id")
+    counted = items.groupBy("department").agg(F.count(F.lit(1)).alias("n_items"))
+    return report.text_lines(counted, [F.desc("n_items"), "department"])
+
+
+@_register("""
+    WITH t AS (SELECT p_partkey AS product_id, coalesce(sum(l_quantity), 0) AS units
+               FROM part LEFT JOIN lineitem ON l_partkey = p_partkey GROUP BY 1),
+         r AS (SELECT *, row_number() OVER (ORDER BY units DESC, product_id) AS position,
+                      count(*) OVER () AS n FROM t)
+    SELECT position, product_id, units FROM r WHERE position IN (1, 2, 100, n - 1, n)
+""")
+def rows_at_positions(spark, sf_dir):
+    """The first two, the hundredth and the last two products by units sold."""
+    sold = _items_quantity(spark, sf_dir).groupBy("product_id").agg(F.sum("quantity").alias("units"))
+    every = _products(spark, sf_dir).select("product_id").join(sold, "product_id", "left")
+    units = every.withColumn("units", F.coalesce("units", F.lit(0.0)))
+    return ranking.rows_at(units, [F.desc("units"), "product_id"], [0, 1, 99, -2, -1])
+
+
+def _items_quantity(spark, sf_dir):
+    return _table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").alias("product_id"), F.col("l_quantity").alias("quantity")
+    )
+
+
 # --- driver entry points ----------------------------------------------------------------
 def _with_shared_dir(query: Query) -> Query:
     """Names a folder for intermediate tables where the session has none.
@@ -1517,9 +1710,7 @@ def _all_queries() -> dict[str, tuple[Query, str | None]]:
     try:
         import corpus_pipeline
         from basketry.llm import queries as llm
-    except ModuleNotFoundError as missing:
-        if missing.name not in ("corpus_pipeline", "basketry.llm"):
-            raise
+    except ImportError:  # deleted, or a library that only the subpackage needs is missing
         return found
     for name, query in llm.QUERIES.items():
         found[name] = (query, llm.ORACLE_SQL.get(name))

@@ -17,6 +17,7 @@ from basketry.operators.series import (
     zero_fill,
 )
 from basketry.schemas import GBT_DEFAULTS
+from basketry.session import materialize
 
 HORIZON_DAYS = 28
 _CALENDAR = ("day_of_week", "day_of_month", "month_of_year")
@@ -92,6 +93,15 @@ def future_frame(
     return _calendar_features(future_only, date)
 
 
+def stored_frame(train: DataFrame, rows_a_part: int = 100_000) -> DataFrame:
+    """A training frame written in as few parts as its rows need.
+
+    Boosting runs several jobs a tree, each with a task a part. Runs jobs.
+    """
+    whole = materialize(train)
+    return whole.coalesce(max(1, -(-whole.count() // rows_a_part)))
+
+
 def fit_forecaster(train: DataFrame, value: str = "sales", **params) -> PipelineModel:
     """Gradient-boosted trees; ``params`` override the defaults.
 

@@ -61,6 +61,20 @@ def with_row_number(
     )
 
 
+def rows_at(
+    df: DataFrame, order: Sequence[Column | str], positions: Sequence[int], name: str = "position"
+) -> DataFrame:
+    """The rows at some positions of the sorted result, with their position from 1.
+
+    ``positions`` count from 0, or from the end if negative, as in a list; those
+    beyond it have no row. ``order`` should be a total order. Runs jobs.
+    """
+    numbered = materialize(with_row_number(df, order, name))
+    n_rows = numbered.count()
+    wanted = {(p if p >= 0 else n_rows + p) + 1 for p in positions}
+    return numbered.where(F.col(name).isin(sorted(wanted)))
+
+
 def ntile_of(position: Column, n_rows: Column, tiles: int) -> Column:
     """SQL ``ntile`` from a 1-based position and the number of rows."""
     small = F.floor(n_rows / tiles)  # rows in a small tile

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from basketry.functions.labels import month_label, percent_text, weekday_label
-from basketry.operators import baskets, profile, series
+from basketry.operators import baskets, profile, ranking, series
 from basketry.sources.catalog import Catalog
 
 
@@ -62,6 +64,28 @@ def catalogue_report(tables: Catalog) -> dict[str, DataFrame]:
     }
 
 
+def text_lines(answer: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    """An answer as lines of text: line_number from 0, the header, and line.
+
+    Columns are as wide as their longest text and set to the right, one space
+    apart; a missing value is ``NULL``. ``order`` should be a total order. Runs a job.
+    """
+    numbered = ranking.with_row_number(answer, order, "_number")
+    text = {c: F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in answer.columns}
+    wide = answer.agg(
+        F.struct(*(F.greatest(F.coalesce(F.max(F.length(t)), F.lit(0)), F.lit(len(c))).alias(c)
+                   for c, t in text.items()))
+    ).scalar()
+
+    def line(cells: dict[str, Column]) -> Column:
+        return F.concat_ws(" ", *(F.lpad(cell, wide[c], F.lit(" ")) for c, cell in cells.items()))
+
+    header = answer.sparkSession.range(1).select(
+        F.lit(0).cast("long").alias("line_number"), line({c: F.lit(c) for c in answer.columns}).alias("line")
+    )
+    return header.union(numbered.select(F.col("_number").cast("long"), line(text)))
+
+
 REPORTS = {
     "orders": order_report,
     "sales": sales_report,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -11,56 +10,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from basketry import schemas as S
 from basketry.functions.text import long_enough
 
-# text that is not code: comments, strings, quoted names; then words and marks
-_PIECE = re.compile(
-    r"--[^\n]*|/\*.*?\*/|'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.|\"\")*\"|`(?:[^`]|``)*`|\w+|\s+|.",
-    re.DOTALL,
-)
-# words that end the list of tables which FROM or JOIN begins
-_ENDS_TABLES = frozenset(
-    "where group having order limit union except intersect select on using window "
-    "lateral pivot unpivot qualify tablesample cluster distribute sort".split()
-)
-
-
-def _with_paths(sql: str) -> str:
-    """Quoted ``.parquet`` paths after FROM, JOIN or a comma of the list as tables.
-
-    Strings elsewhere, comments and quoted names stay as they are.
-    """
-    out, in_tables, before, depth, opened = [], False, "", 0, []
-    for piece in _PIECE.findall(sql):
-        word = piece.lower()
-        if piece.isspace() or piece.startswith(("--", "/*")):
-            out.append(piece)
-            continue
-        if word in ("from", "join"):
-            in_tables = True
-        elif word in _ENDS_TABLES:
-            in_tables = False
-        elif word == "(":
-            opened.append(in_tables)
-            depth += 1
-        elif word == ")" and opened:
-            in_tables = opened.pop()
-        elif (
-            piece[0] == "'"
-            and piece.endswith(".parquet'")
-            and "`" not in piece
-            and in_tables
-            and before in ("from", "join", ",")
-        ):
-            piece = f"parquet.`{piece[1:-1]}`"
-        before = word
-        out.append(piece)
-    return "".join(out)
-
-
-def _names(sql: str) -> set[str]:
-    """The words of the SQL text outside strings and comments."""
-    return {p.strip("`").lower() for p in _PIECE.findall(sql) if p[0].isalpha() or p[0] in "_`"}
-
-
 class Catalog:
     """Tables under one folder, each stored as ``<root>/<table>.parquet``.
 
@@ -193,22 +142,25 @@ class Catalog:
         """Run any Spark SQL text over the stored tables.
 
         Tables are known by name; ``:name`` markers take their values from
-        ``params``. A Parquet file may also stand in FROM or JOIN, alone or in
-        a list, as a quoted path ending in ``.parquet``. A view or table of the
-        session that has the name of a stored table is used instead of it and
-        stays as it is; this catalogue's own views last for the call only, so
-        several catalogues may share a session.
+        ``params``, and ``{name}`` stands for a DataFrame among these. Any other
+        Parquet folder is a table as ``parquet.`path```, as in all Spark SQL; the
+        text goes to Spark as it is. A view or table of the session that has the
+        name of a stored table is used instead of it and stays as it is; this
+        catalogue's own views last for the call only, so several catalogues may
+        share a session.
         """
+        frames = {k: v for k, v in params.items() if isinstance(v, DataFrame)}
+        values = {k: v for k, v in params.items() if k not in frames}
         own = []
         for name in S.TABLES:
-            if name in _names(sql) and not self.spark.catalog.tableExists(name):
+            if not self.spark.catalog.tableExists(name):
                 try:
                     self.register(name)
                     own.append(name)
                 except FileNotFoundError:
-                    pass  # the word may be a column
+                    pass  # not built, which matters only if the text names it
         try:
-            return self.spark.sql(_with_paths(sql), args=params or None)
+            return self.spark.sql(sql, args=values or None, **frames)
         finally:
             for name in own:
                 self.spark.catalog.dropTempView(name)

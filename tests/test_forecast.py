@@ -95,3 +95,16 @@ def test_stockout_risk_lists_short_products(spark):
     assert [tuple(r) for r in rows] == [
         ("no stock row", 8.0, 0, 8.0), ("c", 9.0, 2, 7.0), ("a", 12.0, 10, 2.0),
     ]
+
+
+def test_products_without_a_stock_row_have_none(spark):
+    ahead = spark.createDataFrame([("a", 3.0), ("a", 2.0), ("b", 1.0), ("c", 0.0)], "product_id string, forecast double")
+    stock = spark.createDataFrame([("b", 4)], "product_id string, on_hand int")
+    rows = forecast.stockout_risk(ahead, stock, ["product_id"]).collect()
+    assert [(r.product_id, r.demand, r.on_hand, r.shortfall) for r in rows] == [("a", 5.0, 0, 5.0)]
+
+
+def test_stored_frames_have_few_parts(spark):
+    frame = spark.range(0, 1000, 1, 7)
+    assert forecast.stored_frame(frame).rdd.getNumPartitions() == 1
+    assert forecast.stored_frame(frame, 300).count() == 1000

@@ -603,3 +603,42 @@ def test_reorder_labels_need_a_known_last_order(spark):
     ahead = {r.user_id: r for r in reorder.next_order_features(orders, items).collect()}
     assert (ahead[10].times_bought, ahead[10].n_orders, ahead[10].orders_since) == (2, 2, 1)
     assert (ahead[20].times_bought, ahead[20].n_orders, ahead[20].orders_since) == (1, 1, 1)
+
+
+def test_boosted_trees_find_what_a_line_cannot_and_are_calibrated(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for user in range(1500):
+        for product in range(3):
+            share = float(rng.random())
+            chance = 0.8 if 0.3 < share < 0.6 else 0.1  # neither end: no line tells these apart
+            label = None if user % 50 == 0 else int(rng.random() < chance)
+            rows.append((user, product, int(rng.integers(1, 5)), share, 1, 5, label))
+    names = "user_id int, product_id int, times_bought int, order_share double, orders_since int, n_orders int, label int"
+    fits, tests = reorder.split_customers(_frame(spark, rows, names).cache())
+    trees = reorder.fit_reorder_trees(fits, maxIter=10)
+    line = reorder.fit_reorder_model(fits)
+    area = reorder.area_under_roc(trees.trees.transform(tests))
+    assert area > 0.8 > 0.7 > reorder.area_under_roc(line.transform(tests))
+    scored = trees.score(tests)
+    assert scored.columns == [*tests.columns, "reorder_probability"]
+    high = scored.where("reorder_probability > 0.5").agg({"label": "avg", "reorder_probability": "avg"}).first()
+    assert abs(high[0] - high[1]) < 0.1 and high[0] > 0.7
+    assert scored.where("reorder_probability NOT BETWEEN 0 AND 1").count() == 0
+
+
+# --- positions and lines ----------------------------------------------------------
+def test_rows_at_positions_of_a_sorted_result(spark):
+    df = _frame(spark, [(i * 7 % 50,) for i in range(50)], "v int").repartition(5)
+    rows = ranking.rows_at(df, ["v"], [0, 3, -1, -50, 49, 50, -51]).collect()
+    assert sorted((r.position, r.v) for r in rows) == [(1, 0), (4, 3), (50, 49)]
+    assert ranking.rows_at(df.limit(0), ["v"], [0, -1]).count() == 0
+
+
+def test_answers_as_aligned_lines(spark):
+    from basketry.plans.report import text_lines
+
+    df = _frame(spark, [("milk", 5), ("é", None), ("a long name", 12345)], "item string, n int")
+    lines = [r.line for r in text_lines(df, ["item"]).orderBy("line_number").collect()]
+    assert lines == ["       item     n", "a long name 12345", "       milk     5", "          é  NULL"]
+    assert [r.line for r in text_lines(df.limit(0), ["item"]).collect()] == ["item n"]
