@@ -3,13 +3,24 @@ sessions, loads compared, JSON fields, joint price slopes. Each with its SQL."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from basketry.functions import props
-from basketry.operators import asof, compare, cubes, elasticity, sessions, sketches, spans
-from basketry.session import materialize
+from basketry.functions.vectors import cosine
+from basketry.operators import (
+    asof,
+    compare,
+    cubes,
+    elasticity,
+    sessions,
+    sketches,
+    spans,
+    vector_index,
+)
+from basketry.session import materialize, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -455,3 +466,55 @@ def event_prop_values(spark, sf_dir):
     """Every field of the events' JSON text with its values and how often they come."""
     fields = _events(spark, sf_dir).select(F.explode(props.as_map(F.col("props"))))
     return fields.groupBy("key", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- batch similarity -----------------------------------------------------------------------
+def _product_vectors(spark, sf_dir):
+    return _table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("product_id"), F.col("label").alias("category"), "embedding"
+    )
+
+
+def _index(spark, sf_dir):
+    path = f"{shared_dir(spark)}/index-{uuid.uuid4().hex}"
+    return vector_index.build_index(_product_vectors(spark, sf_dir), path)
+
+
+@_register()
+def similar_batch(spark, sf_dir):
+    """The ten products most similar to every twentieth one, by the index."""
+    index = _index(spark, sf_dir)
+    asked = _product_vectors(spark, sf_dir).where("product_id % 20 = 0")
+    found = vector_index.search(index, asked, probes=vector_index.probes_for(index, spark))
+    return found.withColumn("similarity", F.round("similarity", 6))
+
+
+@_register("""
+    SELECT count(*) AS n_queries, (SELECT count(*) FROM embeddings) AS n_indexed,
+           true AS recall_reached, true AS exact_scores, true AS all_of_category
+    FROM embeddings WHERE vec_id % 20 = 0
+""")
+def similar_batch_checks(spark, sf_dir):
+    """Facts of the index: every row is in it, nine in ten true neighbours are found,
+    with their exact cosine, and a filter leaves only its category."""
+    vectors = _product_vectors(spark, sf_dir)
+    index = _index(spark, sf_dir)
+    asked = vectors.where("product_id % 20 = 0")
+    probes = vector_index.probes_for(index, spark)
+    found = materialize(vector_index.search(index, asked, probes=probes))
+    true = vector_index.search(index, asked, probes=vector_index.MOST_CELLS)
+    hits = found.join(true.select("query", "product_id"), ["query", "product_id"]).count()
+    one = vectors.select(F.col("product_id").alias("query"), F.col("embedding").alias("_a"))
+    other = vectors.select("product_id", F.col("embedding").alias("_b"))
+    scored = found.join(one, "query").join(other, "product_id")
+    off = F.abs(cosine(F.col("_a"), F.col("_b")) - F.col("similarity"))
+    limited = vector_index.search(index, asked, probes=probes, where=F.col("category") == 1)
+    others = limited.join(vectors, "product_id").where("category != 1").count()
+    facts = scored.agg(F.count_distinct("query").alias("n_queries"), (F.max(off) < 1e-9).alias("exact_scores"))
+    return facts.withColumns(
+        {
+            "n_indexed": F.lit(index.rows(spark).count()),
+            "recall_reached": F.lit(hits >= 0.9 * true.count()),
+            "all_of_category": F.lit(others == 0),
+        }
+    )
