@@ -9,9 +9,10 @@
 3. The original strings are compared.
 
 The number of symbols comes from the size of the vocabulary: with s symbols
-there are s^7 reduced words of the shortest length, so that it takes about
-V^(1/7) of them to keep words apart on average, however many there are. It moves
-work only; results are the same with any number.
+there are s^10 reduced words of a common length, so that it takes about V^(1/10)
+of them to keep words apart on average, however many there are. Fewer symbols
+make fewer neighbours and more strings to compare. The number moves work only;
+results are the same with any.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ LEAST_LENGTH, LEAST_COUNT = 7, 2
 TIMES = 10
 #: One run in so many loses a code point.
 DAMAGED = 31
+#: Words whose neighbourhoods one task makes, on average.
+WORDS_A_TASK = 20_000
 
 LETTERS = r"A-Za-zÀ-ÿ"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -59,9 +62,9 @@ def vocabulary(docs: DataFrame) -> DataFrame:
     return found.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_COUNT)
 
 
-def symbols_for(n_words: int, shortest: int = LEAST_LENGTH) -> int:
-    """How many symbols keep reduced words of the shortest length apart."""
-    return max(4, min(len(_SYMBOLS), math.ceil(max(n_words, 1) ** (1 / shortest)) + 1))
+def symbols_for(n_words: int, length: int = 10) -> int:
+    """How many symbols keep most reduced words of a common length apart."""
+    return max(4, min(len(_SYMBOLS), math.ceil(max(n_words, 1) ** (1 / length)) + 1))
 
 
 def symbol(letter: str, symbols: int) -> str:
@@ -98,18 +101,22 @@ def near_words(words: DataFrame, symbols: int | None = None) -> DataFrame:
 
     ``words`` has distinct words; write it first, as it is read three times.
     """
-    symbols = symbols or symbols_for(words.count())
+    n_words = words.count()
+    symbols = symbols or symbols_for(n_words)
     short = words.select("word", "n", reduced(F.col("word"), symbols).alias("reduced"))
-    keys = short.select(
-        F.col("word").alias("a"),
-        F.col("n").alias("a_n"),
-        F.col("reduced").alias("own"),
-        F.explode(neighbourhood(F.col("reduced"), symbols)).alias("reduced"),
+    # each word becomes some dozens of rows, so tasks take few words
+    dealt = short.repartition(max(1, math.ceil(n_words / WORDS_A_TASK)), "word")
+    near = F.posexplode(neighbourhood(F.col("reduced"), symbols)).alias("place", "near")
+    keys = dealt.select(F.col("word").alias("a"), F.col("n").alias("a_n"), near).select(
+        "a", "a_n", (F.col("place") == 0).alias("same"), F.xxhash64("near").alias("key")
+    )
+    own = short.select(
+        F.xxhash64("reduced").alias("key"), F.col("word").alias("b"), F.col("n").alias("b_n")
     )
-    met = keys.join(short.select("reduced", F.col("word").alias("b"), F.col("n").alias("b_n")), "reduced")
     # words of one reduced word meet from both sides
-    once = (F.col("reduced") != F.col("own")) | (F.col("a") < F.col("b"))
-    return met.where(once & (F.levenshtein("a", "b", 1) == 1)).select("a", "a_n", "b", "b_n")
+    once = ~F.col("same") | (F.col("a") < F.col("b"))
+    near_enough = once & (F.levenshtein("a", "b", 1) == 1)
+    return keys.join(own, "key").where(near_enough).select("a", "a_n", "b", "b_n")
 
 
 def _roots(forms: DataFrame) -> DataFrame:
