@@ -9,8 +9,10 @@ that the trees have not seen, makes the margin a probability.
 
 from __future__ import annotations
 
+import functools
 import math
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,6 +45,12 @@ _SPACED = re.compile(r"(?:\b[^\W\d_][ .\-_]){3,}")
 _LETTERS = re.compile(r"[\W_]+")
 
 
+@functools.cache
+def _capitals() -> np.ndarray:
+    """Which code points are capitals, in any script."""
+    return np.array([chr(i).isupper() for i in range(sys.maxunicode + 1)])
+
+
 def openings(words: list[str]) -> set[str]:
     return {w[:n] for w in set(words) for n in OPENINGS if len(w) >= n}
 
@@ -78,7 +86,7 @@ def features(text: str, lexicon: dict[str, float], starts: frozenset[str]) -> li
         spots = np.array(places)
         dense = int((np.searchsorted(spots, spots + 30) - np.arange(len(spots))).max())
     chars, per_word = max(1, len(text)), max(1, n)
-    capitals = sum(map(str.isupper, text)) if len(text) < 2000 else len(re.findall("[A-ZÀ-ÞŁŚŻ]", text))
+    capitals = int(_capitals()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")].sum())
     marks = sum(text.count(c) for c in ".,;:!?*#%&$@")
     return [
         math.log1p(n),

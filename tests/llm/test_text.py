@@ -1,5 +1,6 @@
 """Pages, toxicity, quality, licences and mixing."""
 
+import math
 import re
 import zlib
 
@@ -163,6 +164,39 @@ def test_capped_samples_keep_the_meaning_of_a_score(spark, monkeypatch):
     assert 0.2 <= mean <= 0.47 and above <= 0.1
 
 
+@pytest.mark.parametrize("times", [1, 1000])
+def test_features_of_a_text_whatever_its_length(times):
+    text = "You ROTTEN fool, γειά ΣΟΥ é É! b4dword w-o-r-d soooo "
+    lexicon = {"rott": 2.0, "badw": 1.0}
+    got = toxicity.features(text * times, lexicon, frozenset({"rott", "badw"}))
+    names = ("log_words", "hits", "per_1000", "most", "sum", "dense", "near", "second", "capitals", "marks",
+             "shouts", "mixed", "stretched", "spaced", "hidden")
+    f = dict(zip(names, got, strict=True))
+    words, chars = 10 * times, len(text) * times
+    assert f["log_words"] == pytest.approx(math.log1p(words))
+    assert (f["hits"], f["most"], f["sum"]) == (times, 2.0, 2.0 * times)
+    assert f["capitals"] == 11 / len(text) and f["second"] == pytest.approx(1000 * 1 / 10)
+    assert f["marks"] == 2 / len(text) and f["shouts"] == 1 / len(text)
+    assert f["near"] == times and f["hidden"] == times  # b4dword reads badword
+    assert f["stretched"] == pytest.approx(1000 * times / chars)
+    assert f["spaced"] == pytest.approx(1000 * times / chars)
+    assert f["mixed"] == pytest.approx(1000 * times / words)
+
+
+def test_features_of_an_empty_text():
+    assert toxicity.features("", {"rott": 1.0}, frozenset({"rott"})) == [0.0] * 15
+
+
+def test_ngrams_are_counted_with_repeats():
+    one, two = quality.slots("abc"), quality.slots("abc xyz abc")
+    # triples of letter classes, words, pairs of words
+    assert len(one) == 1 + 1 + 0 and len(two) == 9 + 3 + 2
+    counts = np.bincount(two)
+    assert sorted(counts[counts > 0]) == [1, 1, 1, 2, 2, 2, 3] or counts.sum() == 14
+    assert len(quality.slots("")) == 0
+    assert set(quality.slots("Abc 12")) & set(quality.slots("Xyz 98"))  # classes, not letters
+
+
 # --- quality -------------------------------------------------------------------------
 def test_quality_keeps_good_and_rejects_junk(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
