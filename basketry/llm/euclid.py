@@ -2,9 +2,11 @@
 
 Vectors are scaled to length 1, where a cosine of c is a distance of
 sqrt(2 - 2c). Each of several tables cuts k random Gaussian projections at a
-common width; the k cell numbers name a bucket. At a cosine of 0.93 a pair
-shares one of 24 tables of 8 cells with probability 0.9995, at 0.96 and over
-with one in 100,000 missing.
+common width; the k cell numbers name a bucket. Both numbers come from the number
+of vectors: k so that a bucket holds about ``MATES`` vectors that are at right
+angles, however many there are, and then as many tables as it takes for a pair at
+the least cosine to miss all of them with probability ``MISS``. So the share of all
+pairs that meet falls as the table grows: with n^0.2 tables, n^1.2 pairs meet.
 
 Equal vectors of one label are one class with a count. A bucket is compared in
 blocks of at most ``BLOCK`` classes: a task gets two blocks of it and gives back
@@ -15,6 +17,7 @@ which each class's cells tell, so no pairs have to be made distinct.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +28,9 @@ from basketry.llm.common import SEED, group_bounds, python_tasks, whole_groups
 from basketry.llm.graph import components
 from basketry.session import materialize
 
-TABLES, CELLS, WIDTH = 24, 8, 2.0
+#: Width of a cell; unrelated vectors in a bucket; probability to miss a pair at
+#: the least cosine.
+WIDTH, MATES, MISS = 2.0, 16, 5e-4
 #: Classes in a block of a bucket.
 BLOCK = 512
 
@@ -39,6 +44,24 @@ def usable(column: str) -> F.Column:
     return F.coalesce(finite & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
+def _same_cell(distance: float, width: float) -> float:
+    """The probability that two points at a distance share a cell of a projection."""
+    if distance <= 0:
+        return 1.0
+    ratio = width / distance
+    tail = math.erfc(ratio / math.sqrt(2)) / 2
+    edge = (1 - math.exp(-ratio * ratio / 2)) * 2 / (math.sqrt(2 * math.pi) * ratio)
+    return 1 - 2 * tail - edge
+
+
+def shape(n: int, least_cosine: float, width: float = WIDTH) -> tuple[int, int]:
+    """Tables, and cells of each, for the vectors of the largest label."""
+    apart = _same_cell(math.sqrt(2), width)
+    cells_ = max(2, math.ceil(math.log(max(n, MATES) / MATES) / -math.log(apart)))
+    near = _same_cell(math.sqrt(max(0.0, 2 - 2 * least_cosine)), width) ** cells_
+    return max(1, math.ceil(math.log(MISS) / math.log1p(-near))) if near < 1 else 1, cells_
+
+
 def cells(vectors: np.ndarray, tables: int, cells_: int, width: float) -> np.ndarray:
     """A 64-bit bucket name per vector and table, of vectors of length 1."""
     random = np.random.default_rng(SEED + vectors.shape[1])
@@ -75,8 +98,8 @@ def _spanning(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def near_vectors(
     vectors: DataFrame,
     least_cosine: float = 0.93,
-    tables: int = TABLES,
-    cells_per_table: int = CELLS,
+    tables: int | None = None,
+    cells_per_table: int | None = None,
     width: float = WIDTH,
 ) -> DataFrame:
     """Per row of ``vectors``: vec_id, n_links, component_id, kept.
@@ -89,7 +112,8 @@ def near_vectors(
     finite throughout, link with nothing, nor do vectors of unequal length. A
     row without vec_id takes no part: no links, a null component, kept. Rows
     that share a vec_id have the links of each of their vectors. An empty
-    table gives an empty result.
+    table gives an empty result. ``tables`` and ``cells_per_table`` come from
+    ``shape`` if not given.
     """
     python_tasks(vectors.sparkSession)
     rows = vectors.select(
@@ -108,8 +132,13 @@ def near_vectors(
     sizes = materialize(
         keyed.where("key IS NOT NULL")
         .groupBy("key")
-        .agg(F.min("vec_id").alias("node"), F.count("*").alias("count"))
+        .agg(F.min("vec_id").alias("node"), F.count("*").alias("count"), F.first("label").alias("label"))
     )
+    if tables is None or cells_per_table is None:
+        most = sizes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+        wanted = shape(most, least_cosine, width)
+        tables, cells_per_table = tables or wanted[0], cells_per_table or wanted[1]
+    sizes = sizes.drop("label")
     one = keyed.join(
         sizes.select("key", F.col("node").alias("vec_id"), "count"), ["key", "vec_id"]
     ).dropDuplicates(["key"])

@@ -183,6 +183,29 @@ def test_near_vectors_equal_brute_force(spark, monkeypatch):
     assert [tuple(r) for r in euclid.near_vectors(unnamed).collect()] == [(None, 0, None, True)]
 
 
+def test_buckets_hold_a_falling_share_and_planted_pairs_meet():
+    random = np.random.default_rng(4)
+    shares = []
+    for n in (5000, 20_000, 50_000):
+        tables, cells = euclid.shape(n, 0.93)
+        whole = random.standard_normal((n, 64))
+        whole /= np.linalg.norm(whole, axis=1, keepdims=True)
+        names = euclid.cells(whole, tables, cells, euclid.WIDTH)
+        met = 0
+        for t in range(tables):
+            _, counts = np.unique(names[:, t], return_counts=True)
+            met += int((counts * (counts - 1) // 2).sum())
+        shares.append(met / (n * (n - 1) / 2))
+        # vectors at a cosine of 0.93 with some of these
+        near = whole[:2000]
+        other = random.standard_normal(near.shape)
+        other -= (other * near).sum(1, keepdims=True) * near
+        other /= np.linalg.norm(other, axis=1, keepdims=True)
+        moved = euclid.cells(0.93 * near + math.sqrt(1 - 0.93**2) * other, tables, cells, euclid.WIDTH)
+        assert (moved == names[:2000]).any(1).mean() >= 0.998
+    assert shares[0] > 1.5 * shares[1] > 2 * shares[2]
+
+
 def test_nearest_of_few_rows_are_exact(spark, monkeypatch):
     monkeypatch.setattr(forest, "BLOCK", 9)  # so that leaves have many blocks
     rows = _vectors() + [(None, [1.0] * 16, "a", "x")]
