@@ -23,14 +23,21 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from basketry.llm.common import SEED, python_tasks, texts_of
 
 SLOTS = 1 << 14
-#: Documents of the corpus whose paragraphs train the unknown class, and how
-#: many variations of each template are made.
-UNKNOWN_DOCS, VARIATIONS = 300, 40
+#: What trains the unknown class: documents of the corpus, paragraphs of these, and
+#: a paragraph's characters, at the most. Variations that are made of each template.
+UNKNOWN_DOCS, UNKNOWN_LINES, LINE_CHARS, VARIATIONS = 300, 4000, 2000, 40
 #: Least calibrated probability, and least share of a template's word pairs.
 LEAST_PROBABILITY, LEAST_SHARE = 0.5, 0.6
 
 # Wordings of licence notices, by family.
 TEMPLATES = {
+    "agpl": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "Released under the GNU Affero General Public License.",
+        "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License",
+        "SPDX-License-Identifier: AGPL-3.0-only",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+    ),
     "all-rights-reserved": (
         "All rights reserved.",
         "Copyright by the author. All rights reserved.",
@@ -42,11 +49,16 @@ TEMPLATES = {
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
         "SPDX-License-Identifier: Apache-2.0",
     ),
+    "boost": (
+        "Distributed under the Boost Software License, Version 1.0.",
+        "SPDX-License-Identifier: BSL-1.0",
+    ),
     "bsd": (
         "Released under the BSD License.",
         "Use of this source code is governed by a BSD-style license.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted",
         "SPDX-License-Identifier: BSD-3-Clause",
+        "SPDX-License-Identifier: BSD-2-Clause",
     ),
     "creative-commons": (
         "Licensed under CC BY-NC 4.0.",
@@ -59,16 +71,27 @@ TEMPLATES = {
         "This work is licensed under the GNU General Public License, version 3.",
         "Released under the GNU General Public License.",
         "you can redistribute it and/or modify it under the terms of the GNU General Public License",
+        "SPDX-License-Identifier: GPL-2.0-only",
+        "SPDX-License-Identifier: GPL-2.0-or-later",
+        "SPDX-License-Identifier: GPL-3.0-only",
         "SPDX-License-Identifier: GPL-3.0-or-later",
     ),
+    "isc": (
+        "Released under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose "
+        "with or without fee is hereby granted",
+        "SPDX-License-Identifier: ISC",
+    ),
     "lgpl": (
         "Licensed under the GNU Lesser General Public License, version 3.",
         "under the terms of the GNU Lesser General Public License",
         "SPDX-License-Identifier: LGPL-2.1-only",
+        "SPDX-License-Identifier: LGPL-3.0-or-later",
     ),
     "mit": (
         "Released under the MIT License.",
         "Licensed under the MIT License.",
+        "The MIT License (MIT)",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
         "SPDX-License-Identifier: MIT",
     ),
@@ -79,7 +102,9 @@ TEMPLATES = {
     "public-domain": (
         "This work has been dedicated to the public domain.",
         "Released into the public domain under CC0 1.0.",
+        "This is free and unencumbered software released into the public domain.",
         "SPDX-License-Identifier: CC0-1.0",
+        "SPDX-License-Identifier: Unlicense",
     ),
 }
 FAMILIES = (*TEMPLATES, "unknown")
@@ -159,21 +184,21 @@ class LicenceModel:
 def fit(docs: DataFrame) -> LicenceModel:
     """A model from the templates and a bounded sample of the corpus.
 
-    The sample, ``UNKNOWN_DOCS`` texts by hash, gives the unknown class its
-    paragraphs; those that share word pairs with a template are left out. From
-    an empty table, texts of made-up words stand in.
+    The sample gives the unknown class its paragraphs: ``UNKNOWN_LINES`` by hash, of
+    no more than ``LINE_CHARS`` characters, from ``UNKNOWN_DOCS`` texts by hash; those
+    that share word pairs with a template are left out. From an empty table, texts
+    of made-up words stand in.
     """
     spark = docs.sparkSession
     random = np.random.default_rng(SEED)
     templates = [(i, _pairs(_words(t))) for i, f in enumerate(TEMPLATES) for t in TEMPLATES[f]]
     known = np.unique(np.concatenate([t for _, t in templates]))
     taken = texts_of(docs).orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(UNKNOWN_DOCS)
-    lines = [
-        line
-        for row in taken.select("text").collect()
-        for line in row.text.split("\n")
-        if line.strip()
-    ]
+    found = taken.select(F.explode(F.split("text", "\n")).alias("line")).where(
+        (F.trim("line") != "") & (F.char_length("line") <= LINE_CHARS)
+    )
+    chosen = found.orderBy(F.xxhash64(F.lit(SEED), "line"), "line").limit(UNKNOWN_LINES)
+    lines = [r.line for r in chosen.collect()]
     lines += [" ".join(f"z{x}" for x in random.integers(0, 5000, 12)) for _ in range(200)]
     examples, held = [], []
     for i, family in enumerate(TEMPLATES):
@@ -182,7 +207,7 @@ def fit(docs: DataFrame) -> LicenceModel:
             examples += made[: VARIATIONS * 4 // 5]
             held += made[VARIATIONS * 4 // 5 :]
     unknown = [w for w in map(_words, lines) if len(w) and not np.isin(_pairs(w), known).any()]
-    unknown = [(len(TEMPLATES), slots(w)) for w in unknown[:4000]]
+    unknown = [(len(TEMPLATES), slots(w)) for w in unknown]
     cut = len(unknown) * 4 // 5
     examples, held = examples + unknown[:cut], held + unknown[cut:]
     schema = StructType([StructField("label", DoubleType()), StructField("features", VectorUDT())])

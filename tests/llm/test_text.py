@@ -258,6 +258,20 @@ def test_licence_classes(spark):
     assert got == [(0, 0, "all-rights-reserved"), (1, 1, "mit"), (5, 1, "apache")]
     assert licences.scan(docs.limit(0), licences.fit(docs.limit(0))).count() == 0
 
+    wordings = {
+        "SPDX-License-Identifier: GPL-2.0-only": "gpl",
+        "// SPDX-License-Identifier: MIT": "mit",
+        "The MIT License (MIT)": "mit",
+        "This is free and unencumbered software released into the public domain.": "public-domain",
+        "Distributed under the Boost Software License, Version 1.0.": "boost",
+        "It may be used under the terms of the GNU Affero General Public License.": "agpl",
+        "It may be used under the terms of the GNU General Public License.": "gpl",
+        "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted": "isc",
+    }
+    lines = spark.createDataFrame([(i, w) for i, w in enumerate(wordings)], "doc_id long, text string")
+    found = {r.doc_id: r.family for r in licences.scan(lines, model).collect()}
+    assert found == dict(enumerate(wordings.values()))
+
 
 # --- mixing --------------------------------------------------------------------------
 def _targets(words, weights, share, most):
