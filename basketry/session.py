@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,6 +65,38 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+#: Intermediate tables that this process has written, in order.
+_WRITTEN: list[str] = []
+
+
+def new_table_path(spark: SparkSession) -> str:
+    """Where to write an intermediate table in the shared folder."""
+    path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
+def delete_tables(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete intermediate tables that nothing reads any more."""
+    for path in paths:
+        there = spark._jvm.org.apache.hadoop.fs.Path(path)
+        there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
+@contextmanager
+def tables_end_with(spark: SparkSession) -> Iterator[None]:
+    """Deletes the intermediate tables that are written within, on leaving.
+
+    For a step whose whole result is written within as well, to a place of its own.
+    """
+    first = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        delete_tables(spark, _WRITTEN[first:])
+        del _WRITTEN[first:]
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and read it from there.
 
@@ -70,8 +104,9 @@ def materialize(df: DataFrame) -> DataFrame:
     partitioned, or training rows that an iterative model reads many times.
     What is read back has no lineage to replay when executors are lost, and
     unlike an RDD checkpoint it is compressed and keeps column pruning. Runs a
-    job. The folder is the cluster's to expire.
+    job. ``tables_end_with`` deletes it with a step's others; else the folder is
+    the cluster's to expire.
     """
-    path = f"{shared_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    path = new_table_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

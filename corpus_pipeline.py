@@ -2,7 +2,8 @@
 
 Each stage works on all that the one before it kept. ``run`` writes a stage's
 rows to the shared folder and reads them again as the next one's documents, so
-an executor that is lost costs the tasks of one stage at the most.
+an executor that is lost costs the tasks of one stage at the most. What a stage
+has read and what it wrote on its way are deleted once its rows are written.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from basketry.llm import mixing, neardup, packing, quality, toxicity
 from basketry.llm.common import table
 from basketry.llm.queries import TOKENIZER
-from basketry.session import shared_dir
+from basketry.session import delete_tables, shared_dir, tables_end_with
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,10 +61,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The packed pieces of the documents that all stages keep."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with tables_end_with(spark):  # what a stage has written on its way
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            delete_tables(spark, [before])
+        docs, before = spark.read.parquet(path), path
     return docs
