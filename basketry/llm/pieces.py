@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import codecs
-import re
 from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
@@ -14,15 +13,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from basketry.llm.common import python_tasks
 
-#: Chunks kept in the cache of one Python worker, and the longest one kept.
-CACHE_CHUNKS, CACHE_CHARS = 700_000, 40
+#: Parts kept in the cache of one Python worker, and the longest one kept.
+CACHE_PARTS, CACHE_CHARS = 700_000, 40
 
 #: Parts up to this length are merged side by side, so many at a time.
 SIDE_BY_SIDE, ROWS = 32, 20_000
 
 #: Stands for a space within pieces.
 SPACE = "▁"
-_CHUNKS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+#: Characters below this one, and the space, are looked up in a table.
+COMMON = 512
 
 # A byte that is not part of a character becomes one replacement character.
 codecs.register_error("byte_by_byte", lambda e: ("�", e.start + 1))
@@ -79,14 +79,25 @@ class PieceCodec:
                 self.surface.append(piece.replace(SPACE, " ").encode())
         if len(self.bytes) < 256:
             raise ValueError("the model has no byte pieces")
-        self.crosses = any(p[1] == SPACE != p[0] for p in neighbours)
-        # two neighbouring characters of pieces as one number
+        # two neighbouring characters of pieces as one number; common ones in a table too
         self.neighbours = np.array(sorted(ord(a) << 32 | ord(b) for a, b in neighbours), np.int64)
+        self.common = np.zeros(0x110000, np.int16)
+        self.common[1:COMMON] = np.arange(1, COMMON)
+        self.common[ord(SPACE)] = COMMON
+        self.common_pairs = np.zeros((COMMON + 1, COMMON + 1), bool)
+        for pair in neighbours:
+            a, b = self.common[[ord(pair[0]), ord(pair[1])]]
+            if a and b:
+                self.common_pairs[a, b] = True
         self.prefixed = sp.normalize("a").startswith(SPACE)
-        self.known: dict[str, bytes] = {}  # ids of chunks and their parts
+        self.known: dict[str, bytes] = {}  # ids of parts
         # symbols of the side by side agendas: pieces, then other letters within them
         letters = {c for piece in self.ids for c in piece} - self.ids.keys()
         self.symbols = {**self.ids, **{c: len(self.surface) + i for i, c in enumerate(sorted(letters))}}
+        self.symbol_of = np.full(0x110000, -1, np.int64)
+        for text, i in self.symbols.items():
+            if len(text) == 1:
+                self.symbol_of[ord(text)] = i
         self.plain = np.arange(len(self.surface) + len(letters))
         self.plain[len(self.surface) :] = -1
         self.plain[[self.ids[p] for p in self.unused]] = -1
@@ -141,12 +152,16 @@ class PieceCodec:
     def _parts(self, texts: list[str]) -> list[list[str]]:
         """Each text, cut where no piece can cross."""
         joined = "".join(texts)
-        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-        pairs = codes[:-1] << 32 | codes[1:]
+        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
+        own = self.common[codes]
+        cut = np.ones(len(codes), bool)
+        cut[:-1] = ~self.common_pairs[own[:-1], own[1:]]
+        rare = np.flatnonzero((own[:-1] == 0) | (own[1:] == 0))
+        pairs = codes[rare].astype(np.int64) << 32 | codes[rare + 1]
         at = np.minimum(np.searchsorted(self.neighbours, pairs), len(self.neighbours) - 1)
-        ends = np.cumsum([len(t) for t in texts])
-        cut = np.append(self.neighbours[at] != pairs, True)
-        cut[ends - 1] = True
+        cut[rare] = self.neighbours[at] != pairs
+        ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
+        cut[ends[ends > 0] - 1] = True
         last = np.flatnonzero(cut) + 1
         bounds = [0, *last.tolist()]
         parts = [joined[a:b] for a, b in zip(bounds, bounds[1:])]
@@ -175,8 +190,8 @@ class PieceCodec:
         length = np.array([len(p) for p in parts])
         inside = np.arange(wide + 2) < length[:, None]  # two columns of nothing at the end
         symbols = np.full((len(parts), wide + 2), -1, np.int64)
-        get = self.symbols.get
-        symbols[inside] = [get(c, -1) for c in "".join(parts)]
+        codes = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), "<u4")
+        symbols[inside] = self.symbol_of[codes]
 
         def look(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             key = np.where((left < 0) | (right < 0), -1, left << 32 | right)
@@ -209,12 +224,10 @@ class PieceCodec:
         starts = np.append(0, ends[:-1])
         return [ids[a:b] if w else None for a, b, w in zip(starts.tolist(), ends.tolist(), whole)]
 
-    def _learn(self, chunks: set[str]) -> list[str]:
-        """Find the ids of new chunks; returns those that are not to be kept."""
-        known, order = self.known, list(chunks)
-        if not order:
-            return []
-        cut = self._parts(order)
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The texts' ids as unsigned 32-bit integers, without an end id."""
+        cut = self._parts([self.library.normalize(t) for t in texts])
+        known = self.known
         new = {p for parts in cut for p in parts if p not in known}
         short = sorted((p for p in new if len(p) <= SIDE_BY_SIDE), key=len)
         for i in range(0, len(short), ROWS):
@@ -223,26 +236,14 @@ class PieceCodec:
         for part in new:
             if part not in known:
                 known[part] = self._part(part)
-        for chunk, parts in zip(order, cut):
-            if chunk not in known:
-                known[chunk] = b"".join([known[p] for p in parts])
-        passing, room = [], CACHE_CHUNKS - len(known) + len(new | chunks)
-        for text in new | chunks:
-            if len(text) > CACHE_CHARS or room <= 0:
-                passing.append(text)
+        get = known.__getitem__
+        out = [b"".join(map(get, parts)) for parts in cut]
+        room = CACHE_PARTS - len(known) + len(new)
+        for part in new:
+            if len(part) > CACHE_CHARS or room <= 0:
+                del known[part]
             else:
                 room -= 1
-        return passing
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The texts' ids as unsigned 32-bit integers, without an end id."""
-        normal = [self.library.normalize(t) for t in texts]
-        cut = [[t] if t else [] for t in normal] if self.crosses else [_CHUNKS.findall(t) for t in normal]
-        known = self.known
-        passing = self._learn({c for chunks in cut for c in chunks if c not in known})
-        out = [b"".join([known[c] for c in chunks]) for chunks in cut]
-        for text in passing:
-            del known[text]
         return out
 
     def decode(self, ids: list[int]) -> str:
