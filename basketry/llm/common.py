@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Iterable, Iterator
 from pathlib import Path
@@ -12,7 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from basketry.session import shared_dir
+from basketry.session import delete_tables, new_table_path
 
 #: Rows per Arrow batch: bounds what a task holds of long texts at once.
 BATCH_ROWS = 1000
@@ -58,17 +57,14 @@ class Tables:
         self.written: list[tuple[DataFrame, str]] = []
 
     def write(self, df: DataFrame) -> DataFrame:
-        path = f"{shared_dir(self.spark)}/table-{uuid.uuid4().hex}"
+        path = new_table_path(self.spark)
         df.write.parquet(path)
         found = self.spark.read.schema(df.schema).parquet(path)
         self.written.append((found, path))
         return found
 
     def free(self, *frames: DataFrame) -> None:
-        for frame, path in self.written:
-            if any(frame is f for f in frames):
-                there = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-                there.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(there, True)
+        delete_tables(self.spark, [p for w, p in self.written if any(w is f for f in frames)])
         self.written = [w for w in self.written if not any(w[0] is f for f in frames)]
 
     def keep(self, *frames: DataFrame) -> None:
