@@ -807,16 +807,17 @@ def next_order_features(spark, sf_dir):
 
 def _reorder_fit(spark, sf_dir):
     orders, items = _numbered_orders(spark, sf_dir), _brand_items(spark, sf_dir)
-    features = materialize(reorder.reorder_features(orders, items))
+    placed = materialize(reorder.purchases(orders, items))
+    features = materialize(reorder.reorder_features(orders, items, placed=placed))
     fits, tests = reorder.split_customers(features)
-    return reorder.fit_reorder_model(fits), tests, orders, items
+    upcoming = reorder.next_order_features(orders, items, placed=placed)
+    return reorder.fit_reorder_model(fits), fits, tests, upcoming
 
 
 @_register()
 def reorder_model(spark, sf_dir):
     """Probabilities for every customer's next order."""
-    model, _, orders, items = _reorder_fit(spark, sf_dir)
-    upcoming = reorder.next_order_features(orders, items)
+    model, _, _, upcoming = _reorder_fit(spark, sf_dir)
     return reorder.score_reorders(model, upcoming)
 
 
@@ -830,8 +831,8 @@ def reorder_model(spark, sf_dir):
 """)
 def reorder_model_checks(spark, sf_dir):
     """Facts of the model: a score per pair; held-out customers better than chance."""
-    model, tests, orders, items = _reorder_fit(spark, sf_dir)
-    scored = reorder.score_reorders(model, reorder.next_order_features(orders, items))
+    model, _, tests, upcoming = _reorder_fit(spark, sf_dir)
+    scored = reorder.score_reorders(model, upcoming)
     area = reorder.area_under_roc(model.transform(tests))
     return scored.agg(
         F.count(F.lit(1)).alias("n_rows"),
@@ -852,15 +853,12 @@ def reorder_trees_checks(spark, sf_dir):
     """Facts of the boosted trees: a probability per pair, whose mean on held-out
     customers is near their rate; they rank these no worse than the logistic model
     (within 0.02 of its area, which is what chance moves it by)."""
-    orders, items = _numbered_orders(spark, sf_dir), _brand_items(spark, sf_dir)
-    features = materialize(reorder.reorder_features(orders, items))
-    fits, tests = reorder.split_customers(features)
-    trees, line = reorder.fit_reorder_trees(fits), reorder.fit_reorder_model(fits)
+    line, fits, tests, upcoming = _reorder_fit(spark, sf_dir)
+    trees = reorder.fit_reorder_trees(fits)
     area = reorder.area_under_roc(trees.trees.transform(tests))
     least = reorder.area_under_roc(line.transform(tests)) - 0.02
     told, real = trees.score(tests).agg(F.avg("reorder_probability"), F.avg("label")).first()
-    scored = trees.score(reorder.next_order_features(orders, items))
-    return scored.agg(
+    return trees.score(upcoming).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct("user_id").alias("n_users"),
         F.bool_and(F.col("reorder_probability").between(0, 1)).alias("in_range"),
@@ -873,8 +871,12 @@ def reorder_trees_checks(spark, sf_dir):
 def reorder_trees(spark, sf_dir):
     """Calibrated probabilities of the boosted trees for every customer's next order."""
     orders, items = _numbered_orders(spark, sf_dir), _brand_items(spark, sf_dir)
-    fits, _ = reorder.split_customers(materialize(reorder.reorder_features(orders, items)))
-    return reorder.fit_reorder_trees(fits).score(reorder.next_order_features(orders, items))
+    placed = materialize(reorder.purchases(orders, items))
+    features = materialize(reorder.reorder_features(orders, items, placed=placed))
+    fits, _ = reorder.split_customers(features)
+    return reorder.fit_reorder_trees(fits).score(
+        reorder.next_order_features(orders, items, placed=placed)
+    )
 
 
 # --- prices -------------------------------------------------------------------------

@@ -18,15 +18,21 @@ from basketry.session import materialize
 FEATURES = ("times_bought", "order_share", "orders_since", "n_orders")
 
 
-def _purchases(
-    orders: DataFrame, items: DataFrame, user: str, order: str, number: str, product: str
+def purchases(
+    orders: DataFrame,
+    items: DataFrame,
+    user: str = "user_id",
+    order: str = "order_id",
+    number: str = "order_number",
+    product: str = "product_id",
 ) -> DataFrame:
     """One row per order line, with what the customer's last order tells.
 
     ``_last`` is the customer's last order number and ``_last_known`` whether
     that order has lines. Both are reduced to a row per customer and written
     first, so that they meet the orders in a plain join whose hot customers
-    Spark splits; the lines then come in by order, not by customer.
+    Spark splits; the lines then come in by order, not by customer. Where both
+    kinds of features are wanted, store the result and pass it to both.
     """
     filled = items.select(order).distinct().withColumn("_has_lines", F.lit(True))
     flagged = materialize(orders.select(order, user, number).join(filled, order, "left"))
@@ -50,18 +56,20 @@ def reorder_features(
     order: str = "order_id",
     number: str = "order_number",
     product: str = "product_id",
+    placed: DataFrame | None = None,
 ) -> DataFrame:
     """One row per customer and product bought before the customer's last order.
 
     ``label`` is 1 when the last order has the product again, NULL when that
     order has no lines, so that nothing is known of it. Only purchases before
     it feed the other columns. ``number`` counts a customer's orders from 1.
-    Runs jobs.
+    ``placed`` is what ``purchases`` gives, if it is there already. Runs jobs.
     """
+    if placed is None:
+        placed = purchases(orders, items, user, order, number, product)
     earlier = F.col(number) < F.col("_last")
     return (
-        _purchases(orders, items, user, order, number, product)
-        .groupBy(user, product)
+        placed.groupBy(user, product)
         .agg(
             F.count_distinct(F.when(earlier, F.col(number))).alias("times_bought"),
             F.max(F.when(earlier, F.col(number))).alias("_recent"),
@@ -89,16 +97,19 @@ def next_order_features(
     order: str = "order_id",
     number: str = "order_number",
     product: str = "product_id",
+    placed: DataFrame | None = None,
 ) -> DataFrame:
     """The same columns for the order that comes next, without a label.
 
     All orders of a customer count. A last order without lines is itself the
-    next one, as what is in it is still to be told. Runs jobs.
+    next one, as what is in it is still to be told. ``placed`` is what ``purchases``
+    gives, if it is there already. Runs jobs.
     """
+    if placed is None:
+        placed = purchases(orders, items, user, order, number, product)
     done = F.max(F.when(F.col("_last_known"), F.col("_last")).otherwise(F.col("_last") - 1))
     return (
-        _purchases(orders, items, user, order, number, product)
-        .groupBy(user, product)
+        placed.groupBy(user, product)
         .agg(
             F.count_distinct(number).alias("times_bought"),
             F.max(number).alias("_recent"),

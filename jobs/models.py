@@ -18,6 +18,8 @@ logger = logging.getLogger("models")
 
 #: Departments whose prices may drive all others; the result has their square.
 MOST_DRIVERS = 500
+#: Up to so many, their joint slopes are written too; the ridge of that model.
+JOINT_DRIVERS, RIDGE = 40, 0.01
 
 
 def demand(tables: Catalog, out: str) -> None:
@@ -27,7 +29,7 @@ def demand(tables: Catalog, out: str) -> None:
     daily = series.daily_totals(sales, keys)
     frame = materialize(forecast.training_frame(daily, keys, last))
     train, test = series.time_split(frame, last)
-    model = forecast.fit_forecaster(train)
+    model = forecast.fit_forecaster(forecast.stored_frame(train))
     model.write().overwrite().save(f"{out}/demand_model")
     logger.info("rmse, model and baseline: %s", forecast.forecast_error(model, test))
     future = forecast.future_frame(daily, keys, last)
@@ -48,14 +50,15 @@ def segment(tables: Catalog, out: str) -> None:
 def reorders(tables: Catalog, out: str) -> None:
     """Fit on known last orders, test on held-out customers, score the next order."""
     orders, items = tables.load_orders(), tables.load_order_items()
-    table = materialize(reorder.reorder_features(orders, items))
+    placed = materialize(reorder.purchases(orders, items))
+    table = materialize(reorder.reorder_features(orders, items, placed=placed))
     fits, tests = reorder.split_customers(table)
     model = reorder.fit_reorder_model(fits)
     model.write().overwrite().save(f"{out}/reorder_model")
     if not tests.isEmpty():
         area = reorder.area_under_roc(model.transform(tests))
         logger.info("area under the curve, held-out customers: %.4f", area)
-    upcoming = reorder.next_order_features(orders, items)
+    upcoming = reorder.next_order_features(orders, items, placed=placed)
     write_table(reorder.score_reorders(model, upcoming), f"{out}/reorder_scores")
 
 
@@ -81,6 +84,9 @@ def prices(tables: Catalog, out: str) -> None:
         raise ValueError(f"more than {MOST_DRIVERS} departments: name the drivers instead")
     crossed = elasticity.cross_elasticity(dept_weeks, "dept_id", "week_start", drivers)
     write_table(crossed, f"{out}/cross_elasticity")
+    if len(drivers) <= JOINT_DRIVERS:
+        joint = elasticity.joint_elasticity(dept_weeks, "dept_id", "week_start", drivers, RIDGE)
+        write_table(joint, f"{out}/joint_elasticity")
 
 
 MODELS = {

@@ -84,6 +84,8 @@ def test_price_and_segment_models(spark, tables, tmp_path):
     assert all(-1.5 < r.elasticity < -0.5 for r in own)
     crossed = spark.read.parquet(f"{out}/cross_elasticity").collect()
     assert sorted((r.dept_id, r.driver) for r in crossed) == [("d0", "d1"), ("d1", "d0")]
+    joint = spark.read.parquet(f"{out}/joint_elasticity").collect()
+    assert len(joint) == 4 and {r.driver for r in joint} == {"d0", "d1"}
     models.segment(tables, out)
     assert spark.read.parquet(f"{out}/customer_segments").count() == 60
 
