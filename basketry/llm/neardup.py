@@ -358,11 +358,13 @@ def _class_components(
     central = tables.write(
         classes.join(degrees, "node").select("node", "doc_id", "text_key", "degree", *_SKETCH)
     )
+    # merged at any size: Spark's choice of a broadcast would change the plan with the input
+    wanted = central.select("doc_id", "text_key", "node").hint("merge")
     texts = tables.write(
         keyed_texts(docs)
-        .join(central.select("doc_id", "text_key", "node"), ["doc_id", "text_key"])
+        .join(wanted, ["doc_id", "text_key"])
+        .dropDuplicates(["doc_id", "text_key"])  # as the join has sorted them: no further shuffle
         .select("node", "text")
-        .dropDuplicates(["node"])
     )
     members = tables.write(shared.join(central.select("node", "degree", *_SKETCH), "node").drop("size"))
     tables.free(sizes, shared)
