@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
-def _number(df: DataFrame, column: str) -> Column:
+def as_number(df: DataFrame, column: str) -> Column:
+    """A timestamp's microseconds, a date's day or a whole number, as a long."""
     kind = df.schema[column].dataType
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(F.col(column).cast("timestamp"))
@@ -29,7 +31,7 @@ def _prepared(df: DataFrame, span: tuple[str, str], prefix: str, finest: int) ->
     A bin of level n is 2^n wide. An interval shorter than that lies in two
     neighbouring bins at most.
     """
-    start, end = _number(df, span[0]), _number(df, span[1])
+    start, end = as_number(df, span[0]), as_number(df, span[1])
     renamed = df.select(
         *(F.col(c).alias(f"{prefix}{c}") for c in df.columns), start.alias("_start"), end.alias("_end")
     ).where(F.col("_start") <= F.col("_end"))
@@ -96,3 +98,107 @@ def interval_join(
     return a.join(b, meets & once & overlap).select(
         *left.columns, *(f"{prefix}{c}" for c in right.columns)
     )
+
+
+#: Points beside an end of an interval in a bin, per point and interval, that may
+#: be looked at one by one.
+LOOKED_AT = 8
+
+
+def whole_bins(
+    left: DataFrame,
+    right: DataFrame,
+    span: tuple[str, str],
+    at: str,
+    by: Sequence[str],
+    measures: dict[str, tuple[str, str]],
+) -> tuple[DataFrame, DataFrame, int]:
+    """Totals of the points in the bins that lie wholly within each interval, and the rest.
+
+    For totals of points in long intervals, whose pairs grow with the square of the
+    rows in a span of time. ``left`` has intervals, ``right`` points ``at``; these and
+    the ends of ``span`` are whole numbers (``as_number``). ``measures`` names totals:
+    ``("count", column)`` counts rows; sum, min and max are those of a column.
+
+    Time is cut into bins of 2^width, and four bins are one of the next level. An
+    interval is its rest at either end, which is shorter than a bin, and whole bins,
+    at most six of a level. So each point is in one total a level, each interval
+    meets a few totals a level, and nothing is a pair of rows but in the rest.
+    The width is the widest for which the bins with ends of intervals hold
+    ``LOOKED_AT`` points per row or fewer; the narrowest is 1, where no rest is left.
+
+    Returns rows of ``left`` with ``by`` and the totals, of which there are several
+    per interval (to be summed, or the least or greatest taken), the rests as rows of
+    ``left`` with other ends, and the width for ``interval_join`` of these with the
+    points (its ``finest``). Intervals without an end or before it overlap nothing.
+    Runs jobs.
+    """
+    start, end = span
+    spans_ = left.where(F.col(start) <= F.col(end))
+    points = right.where(F.col(at).isNotNull())
+    longest = spans_.agg(F.max(F.col(end) - F.col(start) + 1)).first()[0] or 1
+    n_rows, width = None, min(60, (longest.bit_length() + 1) // 2 * 2)
+    ends = spans_.select(F.explode(F.array(start, end)).alias("_p"))
+    both = points.select(F.col(at).alias("_p"), F.lit(1).alias("_r"), F.lit(0).alias("_l")).union(
+        ends.select("_p", F.lit(0), F.lit(1))
+    )
+    while width > 0:
+        bins = both.groupBy(F.shiftright("_p", width).alias("_b")).agg(F.sum("_r").alias("_r"), F.sum("_l").alias("_l"))
+        met, n_rows = bins.agg(
+            F.sum(F.col("_r").cast("double") * F.col("_l")), F.sum(F.col("_r") + F.col("_l"))
+        ).first()
+        if (met or 0) <= LOOKED_AT * (n_rows or 0):
+            break
+        width = max(0, width - 4)
+    size, levels = 1 << width, [0]
+    while size << 2 * len(levels) <= longest:
+        levels.append(len(levels))
+
+    first, stop = (
+        F.shiftright(F.col(start) + F.lit(size - 1), width), F.shiftright(F.col(end) + F.lit(1), width)
+    )
+    framed = spans_.withColumns({"_first": first, "_stop": stop})
+    has = F.col("_first") < F.col("_stop")
+    before = F.struct(F.col(start).alias("_s"), (F.col("_first") * size - 1).alias("_e"))
+    after = F.struct((F.col("_stop") * size).alias("_s"), F.col(end).alias("_e"))
+    whole = F.struct(F.col(start).cast("long").alias("_s"), F.col(end).cast("long").alias("_e"))
+    rest = (
+        framed.withColumn("_cut", F.explode(F.when(has, F.array(before, after)).otherwise(F.array(whole))))
+        .withColumns({start: F.col("_cut._s"), end: F.col("_cut._e")})
+        .where(F.col(start) <= F.col(end))
+        .select(*left.columns)
+    )
+
+    def up(k: int) -> tuple[Column, Column]:
+        """The first whole bin of level k within the interval, and the one after its last."""
+        return F.shiftright(F.col("_first") + F.lit((1 << 2 * k) - 1), 2 * k), F.shiftright("_stop", 2 * k)
+
+    def run(low: Column, high: Column) -> Column:
+        return F.when(low < high, F.sequence(low, high - 1)).otherwise(F.array().cast("array<bigint>"))
+
+    def node(k: int, number: Column) -> Column:
+        return F.struct(F.lit(k).alias("_level"), number.alias("_bin"))
+
+    nodes = []
+    for k in levels:
+        (low, high), (next_low, next_high) = up(k), up(k + 1)
+        covered = F.concat(run(low, next_low * 4), run(next_high * 4, high))
+        numbers = F.when(next_low < next_high, covered).otherwise(run(low, high))
+        nodes.append(F.transform(numbers, partial(node, k)))
+    asked = framed.where(has).select(*left.columns, F.inline(F.concat(*nodes)))
+
+    kinds = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
+    base = points.groupBy(F.shiftright(at, width).alias("_b"), *by).agg(
+        *(
+            (F.count(F.lit(1)) if kind == "count" else kinds[kind](column)).alias(name)
+            for name, (kind, column) in measures.items()
+        )
+    )
+    above = F.explode(F.array(*map(F.lit, levels)))
+    totals = (
+        base.withColumn("_level", above)
+        .withColumn("_bin", F.expr("shiftright(_b, 2 * _level)"))
+        .groupBy("_level", "_bin", *by)
+        .agg(*(kinds[kind](name).alias(name) for name, (kind, _) in measures.items()))
+    )
+    return asked.join(totals, ["_level", "_bin"]).drop("_level", "_bin"), rest, width

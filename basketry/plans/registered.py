@@ -164,14 +164,20 @@ def overlapping_orders(spark, sf_dir):
 """)
 def events_before_errors(spark, sf_dir):
     """What all users did in the ten minutes up to each error: a join on time alone."""
-    events = _events(spark, sf_dir).select("event_id", "event_type", "ts", "value")
+    events = _events(spark, sf_dir)
+    events = events.select("event_type", "value", "event_id", spans.as_number(events, "ts").alias("at"))
     errors = events.where("event_type = 'error'").select(
-        F.col("event_id").alias("error_id"), "ts", (F.col("ts") - F.expr("INTERVAL 10 MINUTES")).alias("since")
+        F.col("event_id").alias("error_id"), (F.col("at") - 600_000_000).alias("since"), F.col("at").alias("until")
     )
-    pairs = spans.interval_join(errors, events, ("since", "ts"), ("ts", "ts"), prefix="e_")
-    return pairs.groupBy("error_id", F.col("e_event_type").alias("event_type")).agg(
-        F.count(F.lit(1)).alias("n"), F.max("e_value").alias("most")
+    points = events.select("event_type", "value", "at")
+    measures = {"n": ("count", "at"), "most": ("max", "value")}
+    inner, rest, width = spans.whole_bins(errors, points, ("since", "until"), "at", ["event_type"], measures)
+    pairs = spans.interval_join(rest, points, ("since", "until"), ("at", "at"), prefix="e_", finest=width)
+    outer = pairs.select(
+        "error_id", F.col("e_event_type").alias("event_type"), F.lit(1).cast("long").alias("n"), F.col("e_value").alias("most")
     )
+    found = inner.select("error_id", "event_type", "n", "most").union(outer)
+    return found.groupBy("error_id", "event_type").agg(F.sum("n").alias("n"), F.max("most").alias("most"))
 
 
 @_register(f"""

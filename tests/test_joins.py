@@ -149,3 +149,38 @@ def test_long_intervals_make_few_rows(spark):
     binned = spans._binned(spans._prepared(whole, ("low", "high"), "", 0), [0], "left")
     assert binned.count() <= 2
     assert spans.interval_join(points, whole, ("at", "at"), ("low", "high")).count() == 3000
+
+
+def test_whole_bins_and_rests_make_the_totals_of_all_pairs(spark):
+    rng = random.Random(5)
+    times = [None, 0, 4095, 4096, *(rng.randrange(-3000, 90_000) for _ in range(800)), *[50_000] * 300]
+    points = spark.createDataFrame(
+        [(t, "ab"[i % 2] if i % 7 else None, float(i)) for i, t in enumerate(times)], "at long, kind string, value double"
+    )
+    ends = [(1, None, 5), (2, 9, 3), (3, 4096, 8191), (4, 0, 0), (4, -5000, 99_999)]
+    ends += [(i, t - 60_000, t) for i, t in enumerate(times[3::3], 10)]
+    asked = spark.createDataFrame(ends, "id int, since long, until long")
+    measures = {"n": ("count", "at"), "most": ("max", "value")}
+    inner, rest, width = spans.whole_bins(asked, points, ("since", "until"), "at", ["kind"], measures)
+    pairs = spans.interval_join(rest, points, ("since", "until"), ("at", "at"), prefix="p_", finest=width)
+    outer = pairs.selectExpr("id", "p_kind AS kind", "1L AS n", "p_value AS most")
+    both = inner.select("id", "kind", "n", "most").union(outer)
+    found = both.groupBy("id", "kind").agg(F.sum("n").alias("n"), F.max("most").alias("most"))
+    true = {}
+    for number, since, until in ends:
+        for i, t in enumerate(times):
+            if None not in (since, t) and since <= t <= until:
+                kind = "ab"[i % 2] if i % 7 else None
+                n, most = true.get((number, kind), (0, 0.0))
+                true[number, kind] = (n + 1, max(most, float(i)))
+    assert {(r.id, r.kind): (r.n, r.most) for r in found.collect()} == true
+    n_pairs = sum(n for n, _ in true.values())
+    assert 2 * both.count() < n_pairs  # not a row per pair
+
+
+def test_whole_bins_of_nothing(spark):
+    none = spark.createDataFrame([], "id int, since long, until long")
+    points = spark.createDataFrame([(1, "a")], "at long, kind string")
+    for asked, some in ((none, points), (none, points.limit(0))):
+        inner, rest, _ = spans.whole_bins(asked, some, ("since", "until"), "at", ["kind"], {"n": ("count", "at")})
+        assert inner.count() == rest.count() == 0
