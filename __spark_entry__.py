@@ -44,7 +44,7 @@ from basketry.operators import (
 )
 from basketry import schemas as S
 from basketry.plans import ingest, registered, report
-from basketry.session import materialize, named_shared_dir, shared_dir
+from basketry.session import materialize, named_shared_dir, shared_dir, spread
 from basketry.sources.catalog import Catalog
 from basketry.sources.sink import write_table
 
@@ -108,10 +108,15 @@ def _by_product(
     spark: SparkSession, sf_dir: str, period: Column | None = None
 ) -> DataFrame:
     """Sales summed per product and day (or period), then given its brand and type."""
-    when = F.col("date") if period is None else period
+    sales = _sales(spark, sf_dir).select(
+        F.col("item_id").alias("product_id"),
+        (F.col("date") if period is None else period).alias("date"),
+        "sales",
+        "revenue",
+    )
     totals = (
-        _sales(spark, sf_dir)
-        .groupBy(F.col("item_id").alias("product_id"), when.alias("date"))
+        spread(sales, ["product_id", "date"], sales.count())
+        .groupBy("product_id", "date")
         .agg(F.sum("sales").alias("sales"), F.sum("revenue").alias("revenue"))
     )
     return totals.join(_products(spark, sf_dir), "product_id")

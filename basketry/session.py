@@ -97,6 +97,21 @@ def tables_end_with(spark: SparkSession) -> Iterator[None]:
         del _WRITTEN[first:]
 
 
+#: Rows of a task that holds them, or their groups, in memory.
+ROWS_A_TASK = 500_000
+
+
+def spread(df: DataFrame, keys: Iterable[str], n_rows: int) -> DataFrame:
+    """``df``, of about ``n_rows``, dealt by ``keys`` to tasks of ``ROWS_A_TASK`` each.
+
+    For a join or totals by these keys whose groups are about as many as the rows:
+    sized by bytes or by the session's setting, tasks would hold ever more of them.
+    What fits one task stays as it is.
+    """
+    tasks = -(-n_rows // ROWS_A_TASK)
+    return df.repartition(tasks, *keys) if tasks > 1 else df
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and read it from there.
 

@@ -19,3 +19,15 @@ def test_tables_of_a_step_end_with_it(spark):
         assert len(set(os.listdir(folder)) - before) == 1
     assert set(os.listdir(folder)) == before and stays.count() == 3
     delete_tables(spark, [new_table_path(spark)])  # one that was never written
+
+
+def test_tasks_follow_the_rows(spark):
+    from basketry.session import ROWS_A_TASK, spread
+
+    df = spark.range(100).selectExpr("id % 7 AS k", "id AS v")
+    dealt = spread(df, ["k"], 3 * ROWS_A_TASK + 1)
+    assert dealt.rdd.getNumPartitions() == 4  # and not as few as their bytes fill
+    totals = dealt.groupBy("k").count()
+    assert totals._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert totals.count() == 7 and dealt.count() == 100
+    assert spread(df, ["k"], ROWS_A_TASK) is df
