@@ -952,14 +952,18 @@ def segment_elasticity(spark, sf_dir):
         F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("segment")
     )
     placed = _orders(spark, sf_dir).join(segment, "user_id").select("order_id", "segment")
+    lines = _table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_partkey").alias("product_id"),
+        F.trunc("l_shipdate", "month").alias("date"),
+        "l_quantity",
+        "l_extendedprice",
+    )
+    n_lines = lines.count()
+    by = ["segment", "product_id", "date"]
     bought = (
-        _table(spark, sf_dir, "lineitem")
-        .join(placed, F.col("l_orderkey") == F.col("order_id"))
-        .groupBy(
-            "segment",
-            F.col("l_partkey").alias("product_id"),
-            F.trunc("l_shipdate", "month").alias("date"),
-        )
+        spread(spread(lines, ["order_id"], n_lines).join(placed, "order_id"), by, n_lines)
+        .groupBy(*by)
         .agg(
             F.sum("l_quantity").alias("quantity"),
             F.sum("l_extendedprice").alias("revenue"),
