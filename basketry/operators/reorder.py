@@ -13,6 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame, functions as F
 
+from basketry.operators.forecast import stored_frame
 from basketry.session import materialize
 
 FEATURES = ("times_bought", "order_share", "orders_since", "n_orders")
@@ -136,15 +137,29 @@ def split_customers(
     return known.where(bucket >= edge), known.where(bucket < edge)
 
 
-def with_class_weight(table: DataFrame, label: str = "label") -> DataFrame:
-    """Weights that give both classes the same total."""
-    rate = table.agg(F.avg(F.col(label).cast("double"))).scalar()
-    return table.withColumn(
-        "weight",
-        F.when(F.col(label) == 1, F.try_divide(F.lit(0.5), rate)).otherwise(
-            F.try_divide(F.lit(0.5), F.lit(1.0) - rate)
-        ),
+def alike(table: DataFrame, features: Sequence[str] = FEATURES, label: str = "label") -> DataFrame:
+    """One row for all rows of the same features and label, ``n_alike`` of them.
+
+    The features are counts of a customer's orders and a share of two of them, so
+    customers with like histories share rows: how many there are follows the length
+    of histories, not the number of customers. Runs jobs: the rows are written, in
+    as few parts as they need.
+    """
+    grouped = table.groupBy(*features, label).agg(F.count(F.lit(1)).alias("n_alike"))
+    return stored_frame(grouped)
+
+
+def with_class_weight(table: DataFrame, label: str = "label", count: str | None = None) -> DataFrame:
+    """Weights that give both classes the same total.
+
+    ``count`` names how many rows a row stands for, each of which has its weight.
+    """
+    told, each = F.col(label).cast("double"), F.col(count) if count else F.lit(1)
+    rate = table.agg(F.try_divide(F.sum(told * each), F.sum(F.when(told.isNotNull(), each)))).scalar()
+    weight = F.when(F.col(label) == 1, F.try_divide(F.lit(0.5), rate)).otherwise(
+        F.try_divide(F.lit(0.5), F.lit(1.0) - rate)
     )
+    return table.withColumn("weight", weight * each)
 
 
 def fit_reorder_model(
@@ -195,7 +210,8 @@ def fit_reorder_trees(
     probabilities. An isotonic curve of the label on the trees' margin, fitted
     without weights on a share of customers that the trees have not seen, makes
     them so. ``params`` override the trees' settings. Rows without a label are
-    left out. Pass a stored or materialised table: every tree reads it.
+    left out. Rows of the same features and label are one row of their common
+    weight to the trees and the curve. Pass a stored or materialised table. Runs jobs.
     """
     known = table.where("label IS NOT NULL")
     bucket = F.pmod(F.xxhash64(user, F.lit("curve")), F.lit(1000))
@@ -205,10 +221,11 @@ def fit_reorder_trees(
         VectorAssembler(inputCols=list(features), outputCol="features"),
         GBTClassifier(weightCol="weight", **settings),
     ]
-    trees = Pipeline(stages=stages).fit(with_class_weight(known.where(bucket >= edge)))
-    unseen = _with_margin(trees.transform(known.where(bucket < edge)))
+    seen = alike(known.where(bucket >= edge), features)
+    trees = Pipeline(stages=stages).fit(with_class_weight(seen, count="n_alike"))
+    unseen = _with_margin(trees.transform(alike(known.where(bucket < edge), features)))
     curve = IsotonicRegression(
-        featuresCol="_margin", labelCol="label", predictionCol="reorder_probability"
+        featuresCol="_margin", labelCol="label", weightCol="n_alike", predictionCol="reorder_probability"
     )
     return ReorderTrees(trees, curve.fit(unseen.withColumn("label", F.col("label").cast("double"))))
 

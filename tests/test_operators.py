@@ -642,3 +642,17 @@ def test_answers_as_aligned_lines(spark):
     lines = [r.line for r in text_lines(df, ["item"]).orderBy("line_number").collect()]
     assert lines == ["       item     n", "a long name 12345", "       milk     5", "          é  NULL"]
     assert [r.line for r in text_lines(df.limit(0), ["item"]).collect()] == ["item n"]
+
+
+def test_reorder_models_fit_on_rows_that_differ(spark):
+    rows = [(u, u % 3 + 1, (u % 3 + 1) / 4, u % 2 + 1, 4, int(u % 5 < u % 3)) for u in range(600)]
+    names = "user_id int, times_bought int, order_share double, orders_since int, n_orders int, label int"
+    table = _frame(spark, rows, names)
+    alike = reorder.alike(table).collect()
+    assert len(alike) <= 12 and sum(r.n_alike for r in alike) == 600
+    weighted = reorder.with_class_weight(reorder.alike(table), count="n_alike")
+    halves = {r.label: r.w for r in weighted.groupBy("label").agg(F.sum("weight").alias("w")).collect()}
+    assert halves[0] == pytest.approx(halves[1]) == pytest.approx(300)
+    trees = reorder.fit_reorder_trees(table, maxIter=3)
+    left = {r.user_id: r.reorder_probability for r in trees.score(table).collect()}
+    assert len(left) == 600 and all(0 <= p <= 1 for p in left.values())
