@@ -24,6 +24,15 @@ from basketry.session import materialize
 #: task holds at once. A table of more than 4e9 rows has cells of more blocks.
 SAMPLE_A_CELL, MOST_CELLS, BLOCK = 64, 65_536, 4096
 
+#: Products of rows with centres or other rows that a task holds at once.
+PRODUCTS = 1 << 20
+
+
+def _slices(n_rows: int, width: int) -> Iterator[slice]:
+    """Slices of rows that make at most ``PRODUCTS`` products with ``width`` others."""
+    step = max(1, PRODUCTS // max(width, 1))
+    return (slice(i, i + step) for i in range(0, n_rows, step))
+
 
 @dataclass(frozen=True)
 class VectorIndex:
@@ -89,7 +98,10 @@ def build_index(
     def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             whole = np.array(frame[vector].tolist(), float)
-            frame["cell"] = (whole @ shared.value.T).argmax(1)
+            cell = np.zeros(len(frame), np.int32)
+            for some in _slices(len(frame), len(shared.value)):
+                cell[some] = (whole[some] @ shared.value.T).argmax(1)
+            frame["cell"] = cell
             yield frame
 
     schema = T.StructType([*able.schema.fields, T.StructField("cell", T.IntegerType())])
@@ -109,10 +121,11 @@ def _probed(queries: DataFrame, centres: np.ndarray, probes: int) -> DataFrame:
 
     def near(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            closeness = np.array(frame["unit"].tolist(), float).reshape(len(frame), -1) @ shared.value.T
-            order = np.argsort(-closeness, 1, kind="stable")[:, :probes]
-            frame["cells"] = list(order.astype(np.int32))
-            yield frame
+            whole = np.array(frame["unit"].tolist(), float).reshape(len(frame), -1)
+            for some in _slices(len(frame), len(shared.value)):
+                farness = whole[some] @ -shared.value.T
+                order = np.argsort(farness, 1, kind="stable")[:, :probes]
+                yield frame.iloc[some].assign(cells=list(order.astype(np.int32)))
 
     found = queries.mapInPandas(near, T.StructType([*queries.schema.fields, T.StructField("cells", T.ArrayType(T.IntegerType()))]))
     return found.select("query", "unit", F.posexplode("cells").alias("turn", "cell"))
@@ -175,17 +188,18 @@ def search(
                     whole /= np.abs(whole).max(1, keepdims=True)  # no overflow of squares
                     whole /= np.linalg.norm(whole, axis=1, keepdims=True)
                     rough, waiting = whole.astype(np.float32), []
-                unit = np.array(part["at"].tolist(), float)
-                unit /= np.abs(unit).max(1, keepdims=True)
-                unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-                near = unit.astype(np.float32) @ rough.T
-                keep = min(k + 8, len(ids))
-                best = np.argpartition(-near, keep - 1, 1)[:, :keep]
-                exact = np.einsum("qd,qkd->qk", unit, whole[best])
-                own = ids[best]
-                query = np.repeat(part["id"].to_numpy(), keep)
-                found = pd.DataFrame({"query": query, "found": own.ravel(), "similarity": exact.ravel()})
-                yield found[found["query"] != found["found"]]
+                units, keep = np.array(part["at"].tolist(), float), min(k + 8, len(ids))
+                units /= np.abs(units).max(1, keepdims=True)
+                units /= np.linalg.norm(units, axis=1, keepdims=True)
+                for some in _slices(len(part), max(len(ids), keep * units.shape[1])):
+                    unit = units[some]
+                    near = unit.astype(np.float32) @ -rough.T
+                    best = np.argpartition(near, keep - 1, 1)[:, :keep]
+                    exact = np.einsum("qd,qkd->qk", unit, whole[best])
+                    own = ids[best]
+                    query = np.repeat(part["id"].to_numpy()[some], keep)
+                    found = pd.DataFrame({"query": query, "found": own.ravel(), "similarity": exact.ravel()})
+                    yield found[found["query"] != found["found"]]
 
     meeting = (
         held.union(passing)

@@ -94,3 +94,23 @@ def test_rows_that_have_no_direction_take_no_part(spark, tmp_path):
     empty = vector_index.build_index(df.limit(0), str(tmp_path / "empty"))
     assert vector_index.search(empty, df, k=5).count() == 0
     assert shared_dir(spark)
+
+
+def test_products_are_made_in_bounded_slices():
+    for n_rows, width in ((10_000, 65_536), (10_000, 1), (3, 1 << 22), (0, 5)):
+        taken = [range(n_rows)[s] for s in vector_index._slices(n_rows, width)]
+        assert [i for part in taken for i in part] == list(range(n_rows))
+        assert all(len(part) == 1 or len(part) * width <= vector_index.PRODUCTS for part in taken)
+
+
+def test_search_in_several_slices_finds_all(spark, tmp_path):
+    rows = np.random.default_rng(3).normal(size=(1500, 4))
+    vectors = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)], "product_id int, embedding array<double>")
+    index = vector_index.build_index(vectors.coalesce(1), str(tmp_path / "index"), cells=1)
+    found = vector_index.search(index, vectors.coalesce(1), k=3, probes=1).collect()
+    unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    near = unit @ unit.T
+    np.fill_diagonal(near, -2)
+    best = np.argsort(-near, 1)[:, :3]
+    assert len(found) == 4500
+    assert all(best[r.query, r.position - 1] == r.product_id for r in found)
