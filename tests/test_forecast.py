@@ -108,3 +108,21 @@ def test_stored_frames_have_few_parts(spark):
     frame = spark.range(0, 1000, 1, 7)
     assert forecast.stored_frame(frame).rdd.getNumPartitions() == 1
     assert forecast.stored_frame(frame, 300).count() == 1000
+
+
+def test_department_forecast_sums_the_sales_once(spark, tmp_path, monkeypatch):
+    import __spark_entry__ as driver
+
+    day = "timestamp'2024-01-01' + make_dt_interval(id % 120)"
+    spark.range(600).selectExpr(
+        "id AS l_orderkey", "id % 5 AS l_partkey", "1L AS l_suppkey", "1D + id % 3 AS l_quantity",
+        "10D AS l_extendedprice", f"{day} AS l_shipdate",
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.range(5).selectExpr(
+        "id AS p_partkey", "'n' AS p_name", "'b' AS p_brand", "concat('t', id % 2) AS p_type"
+    ).write.parquet(str(tmp_path / "part.parquet"))
+    monkeypatch.setattr(forecast, "GBT_DEFAULTS", {**forecast.GBT_DEFAULTS, "maxIter": 2})
+    ahead = driver._department_forecast(spark, str(tmp_path))
+    assert "lineitem" not in ahead._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_quantity" not in ahead._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.department, r["count"]) for r in ahead.groupBy("department").count().collect()} == {("t0", 28), ("t1", 28)}
