@@ -46,6 +46,21 @@ def test_words_give_the_ids_of_whole_texts(encoder, plain, texts):
     ]
 
 
+def test_words_are_cut_at_line_breaks_too(plain):
+    own = Encoder(PATH)
+    texts = ["one two.\nThree four.\nThree", "\nThree, four.", "x\n\nThree", "a \nb", "two.\n2.0.\n's ends\n"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == [plain(t) for t in texts]
+    assert {"two.", "\nThree", "four.", "\n2.0."} <= set(own.words)
+    assert "two.\nThree" not in own.words
+
+
+def test_coded_bytes_stay_as_they_are():
+    step = np.arange(5000, dtype=np.uint64)
+    ids = (step**2 % 997 % (step // 40 + 1)).astype("<u4")
+    found = [zlib.crc32(encode_segment(x)) for x in (ids, ids * np.uint32(70001))]
+    assert found == [1145016369, 2259624325]
+
+
 @settings(max_examples=40, deadline=None)
 @given(
     st.integers(0, 3000), st.sampled_from([2, 300, 60_000, 2**32 - 1]), st.integers(0, 99),
