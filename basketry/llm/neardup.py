@@ -465,7 +465,9 @@ def deduplicate(docs: DataFrame, words: int = 5, threshold: int = 80) -> DataFra
         .agg(F.count("*").alias("_rows"))
     )
     unnamed = docs.where(F.col("doc_id").isNull())
-    rows = docs.join(kept, F.col("doc_id").cast("long") == F.col("_kept_id"), "left_semi")
+    # merged at any size, as above: beyond a broadcast the texts are shuffled once more
+    wanted = kept.hint("merge")
+    rows = docs.join(wanted, F.col("doc_id").cast("long") == F.col("_kept_id"), "left_semi")
     if not kept.where("_rows > 1").isEmpty():
         text = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
         rows = rows.withColumn("_text", text).dropDuplicates(["doc_id", "_text"]).drop("_text")

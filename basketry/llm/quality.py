@@ -113,8 +113,8 @@ def select(docs: DataFrame, labels: DataFrame) -> DataFrame:
     tied with the k-th are all selected. Noise is by doc_id and text, so reruns
     agree and rows that repeat share their fate. A null text is empty and has
     the prior odds. An empty table stays empty. Columns of these names are
-    replaced; no others matter. Writes the table once, as each row is needed
-    again after the k-th key is known.
+    replaced; no others matter. Writes two numbers a row, from which the k-th key
+    is found; the rows are scored again for the result, so no text is written.
     """
     docs = docs.drop("log_importance", "quality_key", "selected")
     ratio, prior = fit(docs, labels)
@@ -129,10 +129,8 @@ def select(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     scored = docs.withColumn(
         "log_importance", importance(F.col("text").cast("string")) + F.lit(prior)
-    )
-    keyed = materialize(
-        scored.withColumn("quality_key", F.col("log_importance") + _gumbel("doc_id", "text"))
-    )
+    ).withColumn("quality_key", F.col("log_importance") + _gumbel("doc_id", "text"))
+    keyed = materialize(scored.select("log_importance", "quality_key"))
     k = keyed.where("log_importance >= 0").count()
     least = kth_largest(keyed, "quality_key", k) if k else float("inf")
-    return keyed.withColumn("selected", F.col("quality_key") >= F.lit(least))
+    return scored.withColumn("selected", F.col("quality_key") >= F.lit(least))

@@ -109,6 +109,13 @@ def test_rows_of_one_document_link_by_each_text(spark):
     assert sorted((r.doc_id, r.text) for r in kept) == [(1, first), (1, second), (4, rows[4][1])]
 
 
+def test_few_kept_rows_are_merged_as_many_are(spark):
+    df = spark.createDataFrame([(i, f"a b c d e {i % 3}") for i in range(30)], "doc_id long, text string")
+    plan = neardup.deduplicate(df, 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"LeftSemi.*merge", plan)
+    assert "BroadcastHashJoin" not in neardup.deduplicate(df, 2)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_intermediate_tables_are_deleted(spark):
     from basketry.session import shared_dir
 

@@ -206,6 +206,15 @@ def test_quality_keeps_good_and_rejects_junk(spark):
     assert got.groupby("quality").selected.mean()[0] <= 0.1
 
 
+def test_quality_writes_no_texts(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"word{i} and more") for i in range(6)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    written, write = [], quality.materialize
+    monkeypatch.setattr(quality, "materialize", lambda df: written.extend(df.columns) or write(df))
+    assert quality.select(docs, labels).count() == 6
+    assert "quality_key" in written and "text" not in written
+
+
 def test_quality_draws_the_k_largest_keys(spark):
     docs = spark.createDataFrame(
         [(1, "plain words here", "a"), (2, "junk ### ###", "b"), (3, None, "c"), (None, "", None),
