@@ -12,9 +12,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from basketry.llm.common import python_tasks
+from basketry.llm.tokens import Words
 
-#: Parts kept in the cache of one Python worker, and the longest one kept.
-CACHE_PARTS, CACHE_CHARS = 700_000, 40
+#: Parts and words kept in the caches of one Python worker, and the longest one kept.
+CACHE_PARTS, CACHE_WORDS, CACHE_CHARS = 500_000, 500_000, 40
 
 #: Parts up to this length are merged side by side, so many at a time.
 SIDE_BY_SIDE, ROWS = 32, 20_000
@@ -37,9 +38,10 @@ class PieceCodec:
     equals; a pair whose symbols have changed since is passed over.
 
     Every merge makes a piece, so none crosses two neighbouring characters that
-    no piece has next to each other. A text is cut before runs of spaces, where
-    the vocabulary allows it, and a chunk between any such two characters; each
-    distinct part goes through the agenda once and is kept.
+    no piece has next to each other. A text is cut into words before spaces and
+    line breaks, where the vocabulary allows it, and a new word between any such
+    two characters; each distinct part goes through the agenda once. Words and
+    parts are kept.
 
     Needs a model with byte pieces, which stand for characters that no piece
     has, and without symbols defined by its user.
@@ -90,6 +92,9 @@ class PieceCodec:
             if a and b:
                 self.common_pairs[a, b] = True
         self.prefixed = sp.normalize("a").startswith(SPACE)
+        # whether no piece goes on over a space behind another character, or over a line break
+        self.by_word = not any(b == "\n" or (b == SPACE and a != SPACE) for a, b in neighbours)
+        self.words = Words()  # a space in front is left out
         self.known: dict[str, bytes] = {}  # ids of parts
         # symbols of the side by side agendas: pieces, then other letters within them
         letters = {c for piece in self.ids for c in piece} - self.ids.keys()
@@ -151,6 +156,11 @@ class PieceCodec:
 
     def _parts(self, texts: list[str]) -> list[list[str]]:
         """Each text, cut where no piece can cross."""
+        parts, upto = self._flat_parts(texts)
+        return [parts[a:b] for a, b in zip(upto, upto[1:])]
+
+    def _flat_parts(self, texts: list[str]) -> tuple[list[str], list[int]]:
+        """The parts of all texts, and how many there are before each text and in all."""
         joined = "".join(texts)
         codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
         own = self.common[codes]
@@ -165,8 +175,7 @@ class PieceCodec:
         last = np.flatnonzero(cut) + 1
         bounds = [0, *last.tolist()]
         parts = [joined[a:b] for a, b in zip(bounds, bounds[1:])]
-        upto = [0, *np.searchsorted(last, ends, "right").tolist()]
-        return [parts[a:b] for a, b in zip(upto, upto[1:])]
+        return parts, [0, *np.searchsorted(last, ends, "right").tolist()]
 
     def _pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of each pair of symbols that makes a piece: key, rank of its score, the piece."""
@@ -224,11 +233,11 @@ class PieceCodec:
         starts = np.append(0, ends[:-1])
         return [ids[a:b] if w else None for a, b, w in zip(starts.tolist(), ends.tolist(), whole)]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The texts' ids as unsigned 32-bit integers, without an end id."""
-        cut = self._parts([self.library.normalize(t) for t in texts])
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        """Ids of normalised texts, by their parts."""
+        parts, upto = self._flat_parts(texts)
         known = self.known
-        new = {p for parts in cut for p in parts if p not in known}
+        new = {p for p in parts if p not in known}
         short = sorted((p for p in new if len(p) <= SIDE_BY_SIDE), key=len)
         for i in range(0, len(short), ROWS):
             some = short[i : i + ROWS]
@@ -236,8 +245,10 @@ class PieceCodec:
         for part in new:
             if part not in known:
                 known[part] = self._part(part)
-        get = known.__getitem__
-        out = [b"".join(map(get, parts)) for parts in cut]
+        found = list(map(known.__getitem__, parts))
+        ends = np.append(0, np.cumsum(np.fromiter(map(len, found), np.int64, len(found))))[upto].tolist()
+        ids = b"".join(found)
+        out = [ids[a:b] for a, b in zip(ends, ends[1:])]
         room = CACHE_PARTS - len(known) + len(new)
         for part in new:
             if len(part) > CACHE_CHARS or room <= 0:
@@ -246,10 +257,34 @@ class PieceCodec:
                 room -= 1
         return out
 
+    def _words(self, text: str) -> list[str]:
+        """What is in front of a normalised text's words, and these, without spaces.
+
+        A text with a run of spaces, or one before a line break, is not cut.
+        """
+        if not self.by_word or SPACE + SPACE in text or SPACE + "\n" in text:
+            return [text]
+        return text.replace("\n", SPACE + "\n").split(SPACE)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The texts' ids as unsigned 32-bit integers, without an end id."""
+        cut = [self._words(self.library.normalize(t)) for t in texts]
+        known = self.words
+        get = known.__getitem__
+        found = [tuple(map(get, words[1:])) for words in cut]
+        new, known.new = known.new, {}
+        heads = list({words[0] for words in cut})
+        whole = self._whole([*heads, *(w if w.startswith("\n") else SPACE + w for w in new)])
+        for room, ids in zip(new.values(), whole[len(heads) :], strict=True):
+            room += ids
+        first = dict(zip(heads, whole))
+        out = [b"".join((first[words[0]], *ids)) for words, ids in zip(cut, found)]
+        known.keep(new, CACHE_WORDS, CACHE_CHARS)
+        return out
+
     def decode(self, ids: list[int]) -> str:
         """The text of some ids, with the bytes of neighbouring byte pieces joined."""
-        surface = self.surface
-        joined = b"".join([surface[i] for i in ids])
+        joined = b"".join(map(self.surface.__getitem__, ids))
         if self.prefixed and joined[:1] == b" ":
             if next(i for i in ids if i not in self.silent) in self.opening:
                 joined = joined[1:]

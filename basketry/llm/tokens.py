@@ -25,7 +25,7 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in printed else chr(next(others)) for b in range(256)]
 
 
-class _Words(dict):
+class Words(dict):
     """Ids of " " + word, or of a word that begins with a line break, as it is.
 
     An unknown word gets room for its ids, which are filled in later.
@@ -38,6 +38,16 @@ class _Words(dict):
         room = self[word] = self.new[word] = bytearray()
         return room
 
+    def keep(self, new: dict[str, bytearray], most: int, chars: int) -> None:
+        """Keeps the first of the words filled in, up to ``most`` in all and ``chars`` long."""
+        room = most - (len(self) - len(new))
+        for word, ids in new.items():
+            if len(word) > chars or room <= 0:
+                del self[word]
+            else:
+                self[word] = bytes(ids)
+                room -= 1
+
 
 class Encoder:
     """Ids of texts as unsigned 32-bit integers, in the machine's byte order (little-endian
@@ -68,7 +78,7 @@ class Encoder:
             and not kind.get("normalizer")
             and kind["model"]["type"] == "BPE"
         )
-        self.words = _Words()
+        self.words = Words()
         self.tails: dict[str, bytes] = {}  # ids of marks
         letters = _byte_letters()
         self.letters = np.array([ord(x) for x in letters], "<u2")
@@ -163,13 +173,7 @@ class Encoder:
         new, known.new = known.new, {}
         self._fill(new)
         out = [b"".join(ids) for ids in found]
-        room = CACHE_WORDS - (len(known) - len(new))
-        for word, ids in new.items():
-            if len(word) > CACHE_CHARS or room <= 0:
-                del known[word]
-            else:
-                known[word] = bytes(ids)
-            room -= 1
+        known.keep(new, CACHE_WORDS, CACHE_CHARS)
         return out
 
 

@@ -48,6 +48,19 @@ def test_cutting_at_impossible_neighbours_changes_nothing(own):
         assert b"".join(own._part(p) for p in parts) == own._part(text)
 
 
+def test_words_are_kept_whole(monkeypatch):
+    own = pieces.PieceCodec(MODEL)
+    texts = ["one two.\nThree two.", "\nThree  two", "two.\n\n2.0 ", "▁two. \nThree", "", "one"]
+    for _ in range(2):  # unknown and known words
+        for text, found in zip(texts, own.encode(texts)):
+            assert array("I", found).tolist() == own.library.encode(text)
+    assert set(own.words) >= {"two.", "\nThree", "\n", "\n2.0", ""}
+    assert not any(" " in w or "▁" in w for w in own.words)
+    monkeypatch.setattr(pieces, "CACHE_WORDS", len(own.words))
+    own.encode(["another word"])
+    assert "another" not in own.words
+
+
 def test_agendas_side_by_side_equal_single_ones(own):
     parts = sorted({p for x in own._parts([t for t in _odd_texts() if t]) for p in x if len(p) <= 32}, key=len)
     for part, ids in zip(parts, own._side_by_side(parts)):
