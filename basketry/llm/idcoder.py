@@ -74,20 +74,18 @@ class _Blocks:
         self.row2 = (self.row1 << 2) + self.sure2
         rows = self.p0[:k], self.p1.take(self.row1), self.p2.take(self.row2)
         self.q0, self.q1, self.q2 = (x.view(np.int16) for x in rows)
-        self.w2 = _ALL - self.w0[:k] - self.w1[:k]
-        mixed = _times(self.q0, self.w0[:k])
-        mixed += _times(self.q1, self.w1[:k])
-        mixed += _times(self.q2, self.w2)
-        mixed >>= 14
+        each = np.empty((3, 3, k), np.int32)  # of each model, the first three probabilities
+        for own, q in zip(each, (self.q0, self.q1, self.q2)):
+            own[:] = q.reshape(k, 4).T[:3]
+        mixed = _mixed(*each, self.w0[:k], self.w1[:k])
         mixed *= 4092
         mixed >>= 15
         mixed += 1
-        each = mixed.reshape(k, 4).T
         ends = np.empty((5, k), np.int32)
         ends[0] = 0
-        ends[1] = each[0]
-        np.add(ends[1], each[1], out=ends[2])
-        np.add(ends[2], each[2], out=ends[3])
+        ends[1] = mixed[0]
+        np.add(ends[1], mixed[1], out=ends[2])
+        np.add(ends[2], mixed[2], out=ends[3])
         ends[4] = 1 << 12
         self.ends = ends
 
@@ -125,7 +123,7 @@ class _Blocks:
         own = self.at4[:k] + outcome
         w0, w1 = self.w0[:k], self.w1[:k]
         q0, q1, q2 = (q.take(own).astype(np.int32) for q in (self.q0, self.q1, self.q2))
-        mixed = (q0 * w0 + q1 * w1 + q2 * self.w2) >> 14
+        mixed = _mixed(q0.copy(), q1.copy(), q2, w0, w1)
         for w, q in ((w0, q0), (w1, q1)):
             w += (w * (q - mixed)) >> 17
             np.maximum(w, 256, out=w)
@@ -187,12 +185,16 @@ _HITS = (_U(_ONE) << (np.arange(4, dtype=_U) << _U(4))).astype("<u8").view("<i2"
 _SURER = np.array([1, 2, 3, 3], np.int32)
 
 
-_FOUR = _U(0x0001_0001_0001_0001)
-
-
-def _times(q: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """The four probabilities of every block times its weight, which 16 bits hold."""
-    return np.multiply(q, (w.astype(_U) * _FOUR).view(np.int16), dtype=np.int32)
+def _mixed(q0: np.ndarray, q1: np.ndarray, q2: np.ndarray, w0: np.ndarray, w1: np.ndarray) -> np.ndarray:
+    """Probabilities by their weights, the third one's being the rest; writes over q0 and q1."""
+    q0 -= q2
+    q1 -= q2
+    q0 *= w0
+    q1 *= w1
+    q0 += q1
+    q0 >>= 14
+    q0 += q2
+    return q0
 
 
 def _spread(ids: np.ndarray) -> np.ndarray:

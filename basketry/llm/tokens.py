@@ -35,16 +35,18 @@ class Words(dict):
         self.new: dict[str, bytearray] = {}
 
     def __missing__(self, word: str) -> bytearray:
-        room = self[word] = self.new[word] = bytearray()
+        room = self.new.get(word)
+        if room is None:
+            room = self.new[word] = bytearray()
         return room
 
     def keep(self, new: dict[str, bytearray], most: int, chars: int) -> None:
         """Keeps the first of the words filled in, up to ``most`` in all and ``chars`` long."""
-        room = most - (len(self) - len(new))
+        room = most - len(self)
         for word, ids in new.items():
-            if len(word) > chars or room <= 0:
-                del self[word]
-            else:
+            if room <= 0:
+                break
+            if len(word) <= chars:
                 self[word] = bytes(ids)
                 room -= 1
 
@@ -124,16 +126,24 @@ class Encoder:
     def _fill(self, words: dict[str, bytearray]) -> None:
         """Puts the ids of new words into their places."""
         known, stems, breaks, plain, odd = self.words, {}, {}, [], []
+        waiting = [], [], []  # of stems: a word's place, the number of its stem, ids of marks
+        waiting_breaks = [], [], []
         for word, room in words.items():
             stem = word.rstrip(_MARKS)
             lined = word.startswith("\n")
             if (stem[1:] if lined else stem).isalpha():
                 tail = self._tail(word[len(stem) :]) if len(stem) < len(word) else b""
-                if ids := known.get(stem):  # empty: new as well
+                ids = known.get(stem)
+                if ids is not None:
                     room += ids
                     room += tail
-                else:
-                    (breaks if lined else stems).setdefault(stem, []).append((room, tail))
+                    continue
+                those, (rooms, numbers, tails) = (
+                    (breaks, waiting_breaks) if lined else (stems, waiting)
+                )
+                rooms.append(room)
+                numbers.append(those.setdefault(stem, len(those)))
+                tails.append(tail)
             elif word and " " not in word and not word[0].isspace() and not word[-1].isspace():
                 plain.append(word)
             else:
@@ -142,15 +152,15 @@ class Encoder:
         if stems:
             one = self._mapped([f" {stem}" for stem in stems])
             ids = self.pieces.encode_batch_fast([one], add_special_tokens=False)[0].ids
-            coded.append((stems, self._cut(ids)))
+            coded.append((waiting, self._cut(ids)))
         if breaks:
             first = self._pieces(["\n"])[0]
-            coded.append((breaks, [first + x for x in self._pieces([stem[1:] for stem in breaks])]))
+            found = [first + x for x in self._pieces([stem[1:] for stem in breaks])]
+            coded.append((waiting_breaks, found))
         for those, found in coded:
-            for rooms, ids in zip(those.values(), found, strict=True):
-                for room, tail in rooms:
-                    room += ids
-                    room += tail
+            for room, number, tail in zip(*those):
+                room += found[number]
+                room += tail
         if plain:
             one = self.tokenizer.encode_batch_fast([" " + " ".join(plain)], add_special_tokens=False)
             for word, ids in zip(plain, self._cut(one[0].ids), strict=True):

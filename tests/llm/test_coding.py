@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from basketry.llm import idfiles, packing
+from basketry.llm import idcoder, idfiles, packing, tokens
 from basketry.llm.idcoder import decode_segment, encode_segment
 from basketry.llm.tokens import Encoder
 
@@ -54,6 +54,26 @@ def test_words_are_cut_at_line_breaks_too(plain):
     assert "two.\nThree" not in own.words
 
 
+def test_words_beyond_the_cache_are_never_put_into_it(plain, monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 2)
+    own, put = Encoder(PATH), []
+    monkeypatch.setattr(
+        type(own.words), "__setitem__", lambda d, k, v: (put.append(k), dict.__setitem__(d, k, v))
+    )
+    texts = ["x one two three. three", "x four. four four \nfive \nfive,"]
+    for text in texts * 2:
+        assert [np.frombuffer(x, "<u4").tolist() for x in own.encode([text])] == [plain(text)]
+    assert put == list(own.words) == ["one", "two"]
+
+
+def test_mixing_is_the_weighted_mean():
+    draw = np.random.default_rng(4)
+    q = draw.integers(0, 32768, (3, 5000)).astype(np.int32)
+    w = draw.integers(256, (1 << 13) - 255, (2, 5000)).astype(np.int32)
+    whole = (q[:2] * w).sum(0) + q[2] * ((1 << 14) - w.sum(0))
+    assert (idcoder._mixed(*q.copy(), *w) == whole >> 14).all()
+
+
 def test_coded_bytes_stay_as_they_are():
     step = np.arange(5000, dtype=np.uint64)
     ids = (step**2 % 997 % (step // 40 + 1)).astype("<u4")
